@@ -43,11 +43,12 @@ def flatten_hierarchy(
     )
     has_city = F.col("city_id").isNotNull()
     fallback = F.concat(F.col("city_key"), F.lit(below_city))
+    number = "int" if code_digits < 10 else "bigint"
     placed = lookup_join(lookup_join(leaves, provinces, "province_key"), cities, "city_key")
     return placed.select(
         "province_code",
         "province_name",
-        F.when(has_city, F.col("city_id")).otherwise(fallback).cast("int").alias("city_code"),
+        F.when(has_city, F.col("city_id")).otherwise(fallback).cast(number).alias("city_code"),
         F.when(has_city, F.col("own_city_name"))
         .otherwise(F.col("province_name"))
         .alias("city_name"),

@@ -9,6 +9,7 @@ from typing import Literal
 from pyspark.sql import DataFrame
 
 from lodewright.session import shared_dir
+from lodewright.sinks.files import TEXT_OPTIONS
 
 Reuse = Literal["scan", "table", "persist"]
 
@@ -40,7 +41,8 @@ def write_sinks(shared: DataFrame, sinks: Sequence[Sink], reuse: Reuse = "scan")
         shared = shared.persist()
     try:
         for sink in sinks:
-            sink.rows(shared).write.format(sink.file_format).mode(sink.mode).save(sink.path)
+            writer = sink.rows(shared).write.format(sink.file_format).options(**TEXT_OPTIONS)
+            writer.mode(sink.mode).save(sink.path)
     finally:
         if reuse == "persist":
             shared.unpersist()

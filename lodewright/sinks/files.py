@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# Text formats default to milliseconds; these keep every digit of a timestamp. For reading, too.
+TEXT_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV files with a header, in place of what ``path`` held."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **TEXT_OPTIONS).csv(path)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
@@ -36,9 +41,10 @@ def compact(
     nothing is shuffled. ``source`` stays as it is: a stream may still hold its file log. Readers
     are moved over with ``tables.publish`` or ``tables.publish_partition``. Returns the file count.
     """
-    rows = spark.read.schema(schema).format(file_format).load(source)
+    rows = spark.read.schema(schema).options(**TEXT_OPTIONS).format(file_format).load(source)
     if where is not None:
         rows = rows.where(where)
     files = max(1, -(-folder_bytes(spark, source) // file_bytes))
-    rows.coalesce(files).write.format(file_format).mode("errorifexists").save(target)
+    few = rows.coalesce(files).write.options(**TEXT_OPTIONS)
+    few.format(file_format).mode("errorifexists").save(target)
     return files

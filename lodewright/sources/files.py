@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lodewright.sinks.files import TEXT_OPTIONS
+
 
 def read_scripts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(script_id, text)``, one row per file below ``path`` (any Hadoop URI or glob).
@@ -34,9 +36,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     """
     return (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+        .options(header=True, enforceSchema=False, mode="FAILFAST", **TEXT_OPTIONS)
         .csv(path)
     )
 

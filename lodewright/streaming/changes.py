@@ -13,10 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodewright.operators.changes import DELETE, apply_changes, latest_changes
-from lodewright.sinks.tables import publish
-from lodewright.streaming.jobs import read_sink
 from lodewright.sinks.fanout import Sink
-from lodewright.streaming import jobs
+from lodewright.sinks.tables import publish
+from lodewright.streaming.jobs import read_sink, start_sinks
 from lodewright.streaming.settings import StreamSettings
 
 
@@ -32,7 +31,7 @@ def start_changes(
 ) -> StreamingQuery:
     """Append each batch's last change per key below ``path``."""
     sink = Sink(path, lambda batch: latest_changes(batch, keys, order_by))
-    return jobs.start_sinks(changes, [sink], settings)
+    return start_sinks(changes, [sink], settings)
 
 
 def current_rows(

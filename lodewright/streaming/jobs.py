@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodewright.sinks.fanout import Sink, write_sinks
+from lodewright.sinks.files import TEXT_OPTIONS
 from lodewright.streaming.settings import StreamSettings
 
 BATCH = "batch_id"
@@ -19,7 +20,7 @@ def start_copy(
     stream: DataFrame, path: str, settings: StreamSettings, file_format: str = "json"
 ) -> StreamingQuery:
     """Write a stream to files, each row once: the file log in ``path`` drops repeated batches."""
-    writer = stream.writeStream.format(file_format).option("path", path)
+    writer = stream.writeStream.format(file_format).options(path=path, **TEXT_OPTIONS)
     return settings.apply(writer).start()
 
 
@@ -27,7 +28,8 @@ def follow(
     spark: SparkSession, path: str, schema: StructType | str, file_format: str = "json"
 ) -> DataFrame:
     """The output of ``start_copy`` as the source of a next stream."""
-    return spark.readStream.schema(schema).format(file_format).load(path)
+    reader = spark.readStream.schema(schema).options(**TEXT_OPTIONS)
+    return reader.format(file_format).load(path)
 
 
 def start_sinks(
@@ -52,4 +54,5 @@ def read_sink(
     spark: SparkSession, path: str, schema: StructType | str, file_format: str = "parquet"
 ) -> DataFrame:
     """All batches of a sink of ``start_sinks``, without their numbers."""
-    return spark.read.schema(schema).format(file_format).load(path).drop(BATCH)
+    reader = spark.read.schema(schema).options(**TEXT_OPTIONS)
+    return reader.format(file_format).load(path).drop(BATCH)
