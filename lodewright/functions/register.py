@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from lodewright.functions.text import SPACE
+
 _FUNCTIONS = {
-    "xtrim": r"""(s STRING) RETURNS STRING
-        RETURN regexp_replace(nullif(s, ''), r'(?U)[\s\x1c-\x1f]', '')""",
+    "xtrim": f"""(s STRING) RETURNS STRING
+        RETURN regexp_replace(nullif(s, ''), r'{SPACE}++', '')""",
     "week_of_year": """(d DATE) RETURNS STRING
         RETURN lpad(cast(floor((dayofyear(d) + 6 - weekday(d)) / 7) AS STRING), 2, '0')""",
     "iso_weekday": """(d DATE) RETURNS INT

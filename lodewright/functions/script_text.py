@@ -1,18 +1,16 @@
 """Reading SQL script text: statements, comments, variables, templates and statement kinds.
 
 Splitting and comment removal know string literals, quoted names, line comments and nested block
-comments. One set of patterns, built around a pattern for block comments, serves both ways of
-running them: Spark's own regular expressions, for comments nested up to ``NATIVE_DEPTH`` levels,
-and, for the rare texts that may nest deeper, the same patterns with a recursive block comment in
-a vectorised Python function. Every repetition is possessive, so a long text takes linear time
-and no deep stack.
+comments, by Spark's own regular expressions. Those read comments nested up to ``NATIVE_DEPTH``
+levels; in the rare texts that may nest deeper, a vectorised Python function first marks the inner
+ends of comments, and the marks are turned back at the end. Every repetition is possessive, so a
+long text takes linear time and no deep stack.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import cache
-from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column
@@ -32,36 +30,11 @@ _LINE_COMMENT = r"--[^\r\n]*+"
 _OPEN_TO_THE_END = r"['\"`][\s\S]*+|/\*[\s\S]*+"
 _LINE_START = r"(?<![^\r\n])[ \t]*+"
 _LINE_END = r"[ \t]*+(?![^\r\n])"
-_LEFT_OPEN = r"['\"`]|/\*|\*/"
-
-
 # Names the text's last character ``blank``; callers end the text with one. It stands in for a
 # comment that alone parts two words.
 _LAST_BLANK = r"(?=[\s\S]*+(?<=(?<blank> )))"
 
 
-class _Patterns(NamedTuple):
-    statement: str
-    # The next three name what stays in the text ``keep``; their other matches go.
-    comment_lines: str
-    whole_line_comments: str
-    comments: str
-    closed: str
-
-
-def _patterns(block: str, define: str = "") -> _Patterns:
-    kept = f"{QUOTED}|{block}|{_OPEN_TO_THE_END}"
-    return _Patterns(
-        statement=define
-        + rf"(?:[^;'\"`/-]++|{QUOTED}|{_LINE_COMMENT}|{block}|{_OPEN_TO_THE_END}|[/-])++",
-        comment_lines=define + rf"{_LINE_START}{_LINE_COMMENT}|(?<keep>{kept}|{_LINE_COMMENT})",
-        whole_line_comments=define
-        + rf"{_LINE_COMMENT}|{_LINE_START}(?!/\*\+){block}{_LINE_END}|(?<keep>{kept})",
-        comments=define
-        + rf"{_LINE_COMMENT}|(?<=\S)(?!/\*\+){block}(?=\S){_LAST_BLANK}|(?!/\*\+){block}"
-        + rf"|(?<keep>{kept})",
-        closed=define + rf"{QUOTED}|{_LINE_COMMENT}|{block}",
-    )
 
 
 def _block_comment(depth: int) -> str:
@@ -69,102 +42,124 @@ def _block_comment(depth: int) -> str:
     return rf"/\*(?:[^*/]++|\*(?!/)|/(?!\*){inner})*+\*/"
 
 
-_NATIVE = _patterns(_block_comment(NATIVE_DEPTH))
-_RECURSIVE = _patterns(
-    "(?&block)", r"(?(DEFINE)(?<block>/\*(?:[^*/]++|\*(?!/)|/(?!\*)|(?&block))*+\*/))"
-)
-# A comment opened within a comment. Also found in some literals, which costs time but no rows.
-_NESTS = r"/\*(?:[^*/]++|\*(?!/)|/(?!\*))*+/\*"
-
-
-def _deep_text(text: Column) -> Column:
-    """The text where its comments may nest too deep for the native patterns, else NULL."""
-    return F.when(
-        (F.regexp_count(text, F.lit(r"/\*")) > F.lit(NATIVE_DEPTH)) & text.rlike(_NESTS), text
-    )
+_BLOCK = _block_comment(NATIVE_DEPTH)
+_SINGLE = r"-(?!-)|/(?!\*)"
+_IN_LINE = rf"[^-'\"`/\r\n]++|{QUOTED}|{_SINGLE}"
+_OPEN = f"(?<open>{_OPEN_TO_THE_END})"
 
+_STATEMENT = rf"(?:[^;'\"`/-]++|{QUOTED}|{_LINE_COMMENT}|{_BLOCK}|{_OPEN_TO_THE_END}|[/-])++"
+_MALFORMED = (
+    rf"\A(?:[^-'\"`/*]++|{QUOTED}|{_LINE_COMMENT}|{_BLOCK}|{_SINGLE}|\*(?!/))*+['\"`*/]"
+)
+# The next three name what stays in the text ``keep`` and ``open``; their other matches go. They
+# match ordinary text in long runs, which is much faster than trying each character.
+_COMMENT_LINES = (
+    rf"{_LINE_START}{_LINE_COMMENT}"
+    rf"|(?<keep>[\r\n]++|(?:{_IN_LINE}|{_BLOCK}|{_LINE_COMMENT})++)|{_OPEN}"
+)
+_WHOLE_LINE_COMMENTS = (
+    rf"{_LINE_COMMENT}|{_LINE_START}(?!/\*\+){_BLOCK}{_LINE_END}"
+    rf"|(?<keep>[\r\n]++|(?:{_IN_LINE}|{_BLOCK})++)|{_OPEN}"
+)
+_COMMENTS = (
+    rf"(?<keep>(?:[^-'\"`/]++|{QUOTED}|{_SINGLE}|(?=/\*\+){_BLOCK})++)"
+    rf"|{_LINE_COMMENT}|(?<=\S){_BLOCK}(?=\S){_LAST_BLANK}|{_BLOCK}|{_OPEN}"
+)
+# Up to a comment that nests too deep for the native patterns, or that never ends.
+_UNREADABLE = rf"\A(?:[^-'\"`/]++|{QUOTED}|{_LINE_COMMENT}|{_SINGLE}|{_BLOCK})*+/\*"
 
-# The functions below are nested and close over plain strings, so Spark ships them whole and
-# executors need no copy of this package.
+# Stands before ``a`` for an inner ``/*``, before ``b`` for an inner ``*/``, and before ``c`` for
+# the character itself.
+_MARK = "\ue000"
 
 
 @cache
-def _deep_statements() -> Callable[[Column], Column]:
-    patterns, left_open = _RECURSIVE._asdict(), _LEFT_OPEN
+def _with_marked_comments() -> Callable[[Column], Column]:
+    # Nested, and closing over plain strings, so that Spark ships the function whole and
+    # executors need no copy of this package.
+    outside = f"{QUOTED}|{_LINE_COMMENT}|/\\*|['\"`][\\s\\S]*+"
+    mark = _MARK
 
-    def split(texts: pd.Series) -> pd.Series:
-        import regex
+    def mark_comments(texts: pd.Series) -> pd.Series:
+        import re
 
-        def statements_of(text: str) -> list[dict]:
-            left = regex.sub(patterns["closed"], " ", text)
-            malformed = regex.search(left_open, left) is not None
-            rows = []
-            for match in regex.finditer(patterns["statement"], text):
-                stmt = regex.sub(patterns["comment_lines"], r"\g<keep>", match.group()).strip()
-                code = regex.sub(patterns["comments"], r"\g<keep>\g<blank>", stmt + " ")
-                code = code.strip()
-                if code:
-                    rows.append({"stmt": stmt, "code": code, "malformed": malformed})
-            return rows
+        outer, inner = re.compile(outside), re.compile(r"/\*|\*/")
 
-        return texts.map(statements_of, na_action="ignore")
+        def marked(text: str) -> str:
+            text = text.replace(mark, mark + "c")
+            pieces, at, depth = [], 0, 0
+            while match := (inner if depth else outer).search(text, at):
+                token = match.group()
+                if token == "/*":
+                    depth += 1
+                    token = mark + "a" if depth > 1 else token
+                elif depth:
+                    depth -= 1
+                    token = mark + "b" if depth else token
+                pieces += text[at : match.start()], token
+                at = match.end()
+            return "".join(pieces) + text[at:]
 
-    return F.pandas_udf(split, "array<struct<stmt: string, code: string, malformed: boolean>>")
+        return texts.map(marked, na_action="ignore")
 
+    return F.pandas_udf(mark_comments, "string")
 
-@cache
-def _deep_stripped() -> Callable[[Column], Column]:
-    pattern = _RECURSIVE.whole_line_comments
 
-    def strip_comments(texts: pd.Series) -> pd.Series:
-        import regex
+def marked(text: Column) -> Column:
+    """The text of a script with its comments marked so that the functions below can read it."""
+    unreadable = text.contains("/*") & text.rlike(_UNREADABLE)
+    deep = _with_marked_comments()(F.when(unreadable, text))
+    return F.coalesce(deep, F.replace(text, F.lit(_MARK), F.lit(_MARK + "c")))
 
-        return texts.map(
-            lambda text: regex.sub(pattern, r"\g<keep>", text).strip(), na_action="ignore"
-        )
 
-    return F.pandas_udf(strip_comments, "string")
+def _unmarked(text: Column) -> Column:
+    for letter, original in (("a", "/*"), ("b", "*/"), ("c", _MARK)):
+        text = F.replace(text, F.lit(_MARK + letter), F.lit(original))
+    return text
 
 
-def _native_statements(text: Column) -> Column:
-    left = F.regexp_replace(text, _NATIVE.closed, " ")
-    malformed = left.rlike(_LEFT_OPEN)
+def _code(stmt: Column) -> Column:
+    """A trimmed statement without its comments."""
+    ended = F.concat(stmt, F.lit(" "))
+    code = strip(F.regexp_replace(ended, _COMMENTS, "${keep}${open}${blank}"))
+    return F.when(stmt.contains("--") | stmt.contains("/*"), code).otherwise(stmt)
 
-    def read(part: Column) -> Column:
-        return strip(F.regexp_replace(part, _NATIVE.comment_lines, "${keep}"))
 
-    def with_code(stmt: Column) -> Column:
-        ended = F.concat(stmt, F.lit(" "))
-        code = strip(F.regexp_replace(ended, _NATIVE.comments, "${keep}${blank}"))
-        return F.struct(stmt.alias("stmt"), code.alias("code"), malformed.alias("malformed"))
-
-    parts = F.regexp_extract_all(text, F.lit(_NATIVE.statement), F.lit(0))
-    rows = F.transform(F.transform(parts, read), with_code)
-    return F.filter(rows, lambda row: row["code"] != F.lit(""))
-
-
-def statements(text: Column) -> Column:
-    """The statements of a script: an array of ``(stmt, code, malformed)`` in script order.
+def statements(script: Column) -> Column:
+    """The statements of a marked script: an array of ``(stmt, code)`` in script order.
 
     ``;`` separates statements unless it is inside a literal, a quoted name or a comment, and the
     last statement needs none. ``stmt`` is trimmed and keeps its comments, except those that fill
     a line after ``--``; ``code`` has no comments but hints. Statements without code are left out.
-    ``malformed`` marks all statements of a script in which a literal or comment never ends.
     """
-    return F.coalesce(_deep_statements()(_deep_text(text)), _native_statements(text))
+    no_lines = F.regexp_replace(script, _COMMENT_LINES, "${keep}${open}")
+    shorter = F.when(script.contains("--"), no_lines).otherwise(script)
+    parts = F.regexp_extract_all(shorter, F.lit(_STATEMENT), F.lit(0))
+    rows = F.transform(
+        F.transform(parts, strip),
+        lambda stmt: F.struct(
+            _unmarked(stmt).alias("stmt"), _unmarked(_code(stmt)).alias("code")
+        ),
+    )
+    return F.filter(rows, lambda row: row["code"] != F.lit(""))
+
+
+def malformed(script: Column) -> Column:
+    """Whether a literal or comment in a marked script never ends, or one ends unopened."""
+    return script.rlike(_MALFORMED)
 
 
-def without_comments(text: Column) -> Column:
-    """Remove ``--`` comments and the block comments that fill whole lines; keep the others.
+def without_comments(script: Column) -> Column:
+    """A marked script without ``--`` comments and block comments that fill whole lines.
 
-    Hints (``/*+ ... */``) and text inside literals stay.
+    Other comments, hints (``/*+ ... */``) and text inside literals stay. No marks remain.
     """
-    native = strip(F.regexp_replace(text, _NATIVE.whole_line_comments, "${keep}"))
-    return F.coalesce(_deep_stripped()(_deep_text(text)), native)
+    stripped = F.regexp_replace(script, _WHOLE_LINE_COMMENTS, "${keep}${open}")
+    return _unmarked(strip(stripped))
 
 
 # A separator is a semicolon before the end, a line end or a line comment.
-_LINE_SEPARATOR = rf"(?U);{SPACE}*$|;(?={SPACE}*\n)|;(?={SPACE}*--)"
+_LINE_SEPARATOR = rf";{SPACE}*$|;(?={SPACE}*\n)|;(?={SPACE}*--)"
 
 
 def statements_at_line_ends(text: Column) -> Column:
@@ -193,7 +188,7 @@ def variables(text: Column) -> Column:
         ),
     )
     none = F.array().cast("array<struct<k: string, v: string>>")
-    return F.when(text.rlike(r"(?iU)set\s+var:"), pairs).otherwise(none)
+    return F.when(text.rlike(rf"(?i)set{SPACE}+var:"), pairs).otherwise(none)
 
 
 def rendered(text: Column, script_variables: Column, external: Mapping[str, str]) -> Column:
@@ -212,43 +207,52 @@ def rendered(text: Column, script_variables: Column, external: Mapping[str, str]
     return result
 
 
+_LEAD = r"(?i)^(?:set\s+var:|add\s+jar\b|[a-z]++)"
 _SET = r"(?is)^set\s+([^=]*?)\s*=\s*(.*)\z"
 _ADD_JAR = r"(?is)^add\s+jar\s+(.*)\z"
-_INSERT = r"(?is)^(?:insert\b|(?:with|from)\b.*\binsert\s+(?:into|overwrite)\b)"
+_INSERT = r"(?is)^(?:with|from)\b.*\binsert\s+(?:into|overwrite)\b"
+
+
+def sets_variable(code: Column) -> Column:
+    """Whether a statement without comments is a ``set var:`` line."""
+    return F.regexp_extract(code, _LEAD, 0).endswith(":")
 
 
-def statement_kind(code: Column) -> Column:
-    """``(kind, key, value)`` of a statement without comments.
+def statement_kind(code: Column) -> dict[str, Column]:
+    """``kind``, ``key`` and ``value`` of a statement without comments.
 
     Kinds: ``blank``, ``set_variable`` and ``set`` (with key and value), ``add_jar`` (the path as
     value), ``insert`` (also after ``WITH`` or ``FROM``) and ``other``. The leading keywords
     decide; words inside literals do not count.
     """
-    no_literals = F.regexp_replace(code, QUOTED, "''")
+    lead = F.lower(F.regexp_extract(code, _LEAD, 0))
+    inserts = F.regexp_replace(code, QUOTED, "''").rlike(_INSERT)
+    is_variable, is_set = lead.endswith(":"), lead == F.lit("set")
+    is_jar = lead.rlike(r"^add\s+jar$")
     kind = (
         F.when(code == F.lit(""), F.lit("blank"))
-        .when(code.rlike(r"(?i)^set\s+var:"), F.lit("set_variable"))
-        .when(code.rlike(r"(?i)^set\b"), F.lit("set"))
-        .when(code.rlike(r"(?i)^add\s+jar\b"), F.lit("add_jar"))
-        .when(no_literals.rlike(_INSERT), F.lit("insert"))
+        .when(is_variable, F.lit("set_variable"))
+        .when(is_set, F.lit("set"))
+        .when(is_jar, F.lit("add_jar"))
+        .when(lead == F.lit("insert"), F.lit("insert"))
+        .when(lead.isin("with", "from") & inserts, F.lit("insert"))
         .otherwise(F.lit("other"))
     )
 
-    def unquoted(group: int, pattern: str) -> Column:
-        found = F.regexp_extract(code, pattern, group)
-        return strip(F.regexp_replace(found, "['\"]", ""))
+    def unquoted(pattern: str, group: int) -> Column:
+        return strip(F.regexp_replace(F.regexp_extract(code, pattern, group), "['\"]", ""))
 
     one_line = collapse_spaces(code)
-    is_set = code.rlike(_SET)
-    key = F.when(kind == F.lit("set_variable"), F.regexp_extract(one_line, _VARIABLE, 1)).when(
-        (kind == F.lit("set")) & is_set, unquoted(1, _SET)
+    assigns = is_set & code.contains("=")
+    key = F.when(is_variable, F.regexp_extract(one_line, _VARIABLE, 1)).when(
+        assigns, unquoted(_SET, 1)
     )
     value = (
-        F.when(kind == F.lit("set_variable"), F.regexp_extract(one_line, _VARIABLE, 2))
-        .when((kind == F.lit("set")) & is_set, unquoted(2, _SET))
-        .when(kind == F.lit("add_jar"), unquoted(1, _ADD_JAR))
+        F.when(is_variable, F.regexp_extract(one_line, _VARIABLE, 2))
+        .when(assigns, unquoted(_SET, 2))
+        .when(is_jar, unquoted(_ADD_JAR, 1))
     )
-    return F.struct(kind.alias("kind"), key.alias("key"), value.alias("value"))
+    return {"kind": kind, "key": key, "value": value}
 
 
 _STATEMENT_SET = (

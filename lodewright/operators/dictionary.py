@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodewright.functions import script_text
 from lodewright.functions.script_text import BACK_QUOTED, DOUBLE_QUOTED, QUOTED, SINGLE_QUOTED
 from lodewright.functions.text import collapse_spaces, strip
+from lodewright.operators.scripts import marked
 
 # The dictionary's columns and the headings of its CSV file.
 HEADINGS = {
@@ -19,60 +20,65 @@ HEADINGS = {
 }
 
 _CREATE_TABLE = r"(?i)^create table\b"
-_TOKEN = rf"{QUOTED}|[(),<>'\"`]|[^(),<>'\"`]++"
-_NESTED_TYPE = r"(?i)\b(?:array|map|struct|row|multiset) ?\z"
+_HEAD = rf"^(?:[^('\"`]++|{QUOTED})*+"
 _NAME = rf"(?:{BACK_QUOTED}|[^\s`]++)++"
-_HEAD = rf"(?i)^create table (?:if not exists )?({_NAME})"
+_TABLE_NAME = rf"(?i)^create table (?:if not exists )?({_NAME})"
 _COMMENT = rf"(?i)\bcomment ?=? ?({SINGLE_QUOTED}(?:{SINGLE_QUOTED})*+|{DOUBLE_QUOTED})"
 
-_BODY_TYPE = "struct<depth: int, angles: int, now: string, head: string, fields: array<string>>"
+_TYPE_WORD = r"(?i:array|map|struct|row|multiset) ?"
+_NESTED_TYPE = rf"\b{_TYPE_WORD}\z"
+# One token holds all up to the next comma or bracket, with brackets that hold no others.
+_TOKEN = (
+    rf"(?:[^(),<>'\"`]++|{QUOTED}|\([^()'\"`]*+\)|(?<={_TYPE_WORD})<[^<>()'\"`]*+>)++"
+    r"|[(),<>'\"`]"
+)
+_STATE = "struct<depth: int, angles: int, now: string, fields: array<string>>"
 
 
-def _body(code: Column) -> Column:
-    """Read a statement's tokens into its head, its column definitions and what follows (``now``).
+def _columns_and_rest(column_list: Column) -> Column:
+    """Read what follows a table's first ``(`` into ``fields`` and what follows the list (``now``).
 
-    Commas part columns only outside brackets, so ``decimal(13, 2)`` and
-    ``struct<a: int, b: int>`` stay whole. Depth -1 means that the column list is closed.
+    Commas part fields only outside brackets, so ``decimal(13, 2)`` and
+    ``struct<a: int, b: map<string, int>>`` stay whole, however deep they nest. ``depth`` is 0 once
+    the list is closed.
     """
-    nothing = F.lit("")
-    none = F.array().cast("array<string>")
-    zero = F.lit(0)
-    start = F.struct(zero, zero, nothing, nothing, none).cast(_BODY_TYPE)
+    nothing, zero, one = F.lit(""), F.lit(0), F.lit(1)
+    no_fields = F.array().cast("array<string>")
 
-    def state(depth: Column, angles: Column, now: Column, head: Column, fields: Column) -> Column:
+    def state(depth: Column, angles: Column, now: Column, fields: Column) -> Column:
         return F.struct(
-            depth.alias("depth"),
-            angles.alias("angles"),
-            now.alias("now"),
-            head.alias("head"),
-            fields.alias("fields"),
+            depth.alias("depth"), angles.alias("angles"), now.alias("now"), fields.alias("fields")
         )
 
     def read(seen: Column, token: Column) -> Column:
-        depth, angles, now = seen["depth"], seen["angles"], seen["now"]
-        head, fields = seen["head"], seen["fields"]
+        depth, angles, now, fields = (
+            seen[name] for name in ("depth", "angles", "now", "fields")
+        )
         more = F.concat(now, token)
-        one = F.lit(1)
-        opens_list = (token == F.lit("(")) & (depth == zero)
-        closes_list = (token == F.lit(")")) & (depth == one)
-        ends_field = (token == F.lit(",")) & (depth == one) & (angles == zero)
+        in_list = (depth == one) & (angles == zero)
         opens_type = (token == F.lit("<")) & ((angles > zero) | now.rlike(_NESTED_TYPE))
         closes_type = (token == F.lit(">")) & (angles > zero)
-        with_field = F.array_append(fields, now)
         return (
-            F.when(depth < zero, state(depth, angles, more, head, fields))
-            .when(opens_list, state(one, zero, nothing, now, fields))
-            .when(closes_list, state(F.lit(-1), zero, nothing, head, with_field))
-            .when(ends_field, state(depth, angles, nothing, head, with_field))
-            .when(opens_type, state(depth, angles + one, more, head, fields))
-            .when(closes_type, state(depth, angles - one, more, head, fields))
-            .when(token == F.lit("("), state(depth + one, angles, more, head, fields))
-            .when(token == F.lit(")"), state(depth - one, angles, more, head, fields))
-            .otherwise(state(depth, angles, more, head, fields))
+            F.when(
+                (depth == zero) | (F.length(token) > one), state(depth, angles, more, fields)
+            )
+            .when(
+                (token == F.lit(",")) & in_list,
+                state(depth, angles, nothing, F.array_append(fields, now)),
+            )
+            .when(
+                (token == F.lit(")")) & (depth == one),
+                state(zero, zero, nothing, F.array_append(fields, now)),
+            )
+            .when(token == F.lit("("), state(depth + one, angles, more, fields))
+            .when(token == F.lit(")"), state(depth - one, angles, more, fields))
+            .when(opens_type, state(depth, angles + one, more, fields))
+            .when(closes_type, state(depth, angles - one, more, fields))
+            .otherwise(state(depth, angles, more, fields))
         )
 
-    tokens = F.regexp_extract_all(code, F.lit(_TOKEN), F.lit(0))
-    return F.aggregate(tokens, start, read)
+    tokens = F.regexp_extract_all(column_list, F.lit(_TOKEN), F.lit(0))
+    return F.aggregate(tokens, state(one, zero, nothing, no_fields).cast(_STATE), read)
 
 
 def _unquoted_comment(text: Column, fold_case: bool) -> Column:
@@ -92,23 +98,28 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     clause inside the list comes out as a column named by its first word.
     """
     others = [name for name in scripts.columns if name != text]
-    code = collapse_spaces(F.col("part.code"))
+    code = F.col("code")
+    after_head = F.length("head") + F.lit(2)
     tables = (
-        scripts.select(
-            *others, F.posexplode(script_text.statements(F.col(text))).alias("pos", "part")
+        marked(scripts, text)
+        .select(*others, F.posexplode(script_text.statements(F.col(text))).alias("pos", "part"))
+        .select(*others, "pos", collapse_spaces(F.col("part.code")).alias("code"))
+        .where(code.rlike(_CREATE_TABLE))
+        .select(*others, "pos", "code", F.regexp_extract("code", _HEAD, 0).alias("head"))
+        .select(
+            *others,
+            "pos",
+            "head",
+            _columns_and_rest(F.substring("code", after_head, F.length("code"))).alias("body"),
         )
-        .select(*others, "pos", code.alias("code"))
-        .where(F.col("code").rlike(_CREATE_TABLE))
-        .select(*others, "pos", _body(F.col("code")).alias("body"))
     )
-    head = F.col("body.head")
-    table_name = F.regexp_extract(head, _HEAD, 1)
-    after_name = strip(F.regexp_replace(F.regexp_replace(head, _HEAD, ""), _COMMENT, ""))
+    head = F.col("head")
+    after_name = strip(F.regexp_replace(F.regexp_replace(head, _TABLE_NAME, ""), _COMMENT, ""))
     options = F.concat_ws(" ", head, F.col("body.now"))
-    columns = tables.where((F.col("body.depth") < F.lit(0)) & (after_name == F.lit(""))).select(
+    columns = tables.where((F.col("body.depth") == F.lit(0)) & (after_name == F.lit(""))).select(
         *others,
         "pos",
-        F.lower(table_name).alias("table_name"),
+        F.lower(F.regexp_extract(head, _TABLE_NAME, 1)).alias("table_name"),
         _unquoted_comment(options, fold_case).alias("table_comment"),
         F.posexplode(
             F.filter(F.transform("body.fields", strip), lambda field: field != F.lit(""))

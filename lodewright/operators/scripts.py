@@ -18,11 +18,22 @@ def _others(scripts: DataFrame, text: str) -> list[str]:
     return [name for name in scripts.columns if name != text]
 
 
+def marked(scripts: DataFrame, text: str = "text") -> DataFrame:
+    """The scripts as ``script_text.statements`` and its like read them."""
+    return scripts.withColumn(text, script_text.marked(F.col(text)))
+
+
 def split_statements(scripts: DataFrame, text: str = "text") -> DataFrame:
     """``pos``, ``stmt`` and ``malformed`` for each statement; see ``script_text.statements``."""
     others = _others(scripts, text)
-    parts = F.posexplode(script_text.statements(F.col(text))).alias("pos", "part")
-    return scripts.select(*others, parts).select(*others, "pos", "part.stmt", "part.malformed")
+    # In steps: what stands beside a generator in one select is computed once per row it makes.
+    read = marked(scripts, text).select(
+        *others,
+        script_text.malformed(F.col(text)).alias("malformed"),
+        script_text.statements(F.col(text)).alias("parts"),
+    )
+    rows = read.select(*others, "malformed", F.posexplode("parts").alias("pos", "part"))
+    return rows.select(*others, "pos", "part.stmt", "malformed")
 
 
 def split_statements_simple(scripts: DataFrame, text: str = "text") -> DataFrame:
@@ -48,7 +59,7 @@ def render_templates(
 
 def strip_comments(scripts: DataFrame, text: str = "text") -> DataFrame:
     """Remove comments; see ``script_text.without_comments``."""
-    return scripts.withColumn(text, script_text.without_comments(F.col(text)))
+    return marked(scripts, text).withColumn(text, script_text.without_comments(F.col(text)))
 
 
 def unwrap_statement_set(scripts: DataFrame, text: str = "text") -> DataFrame:
@@ -59,35 +70,38 @@ def unwrap_statement_set(scripts: DataFrame, text: str = "text") -> DataFrame:
 def classify_statements(scripts: DataFrame, text: str = "text") -> DataFrame:
     """``pos``, ``stmt``, ``kind``, ``key``, ``value`` and ``sql_id`` for each statement.
 
-    ``sql_id`` numbers from 1 the statements that would be executed: all but blank ones and
-    variables. It is counted within the row's array, which saves a shuffle by script.
+    ``sql_id`` numbers from 1 the statements that would be executed: all but variables. It is counted within the row's array, which saves a shuffle by script.
     """
     others = _others(scripts, text)
-
-    def kinds(part: Column, pos: Column) -> Column:
-        return F.struct(
+    parts = F.transform(
+        script_text.statements(F.col(text)),
+        lambda part, pos: F.struct(
             pos.alias("pos"),
             part["stmt"].alias("stmt"),
-            script_text.statement_kind(part["code"]).alias("found"),
-        )
-
-    def is_executed(part: Column) -> Column:
-        return ~part["found"]["kind"].isin("blank", "set_variable")
+            part["code"].alias("code"),
+            script_text.sets_variable(part["code"]).alias("sets_variable"),
+        ),
+    )
 
-    def numbered(part: Column, index: Column | None) -> Column:
-        sql_id = F.lit(None).cast("int") if index is None else index + F.lit(1)
+    def row(part: Column, sql_id: Column) -> Column:
         return F.struct(
-            part["pos"], part["stmt"], part["found"]["kind"], part["found"]["key"],
-            part["found"]["value"], sql_id,
-        ).cast(
-            "struct<pos: int, stmt: string, kind: string, key: string, value: string, sql_id: int>"
+            part["pos"].alias("pos"),
+            part["stmt"].alias("stmt"),
+            part["code"].alias("code"),
+            sql_id.cast("int").alias("sql_id"),
         )
 
-    classified = scripts.select(
-        *others, F.transform(script_text.statements(F.col(text)), kinds).alias("parts")
+    executed = F.transform(
+        F.filter("parts", lambda part: ~part["sets_variable"]),
+        lambda part, index: row(part, index + F.lit(1)),
+    )
+    variables = F.transform(
+        F.filter("parts", lambda part: part["sets_variable"]),
+        lambda part: row(part, F.lit(None)),
     )
-    executed = F.transform(F.filter("parts", is_executed), numbered)
-    passed_over = F.transform(
-        F.filter("parts", lambda part: ~is_executed(part)), lambda part: numbered(part, None)
+    read = marked(scripts, text).select(*others, parts.alias("parts"))
+    rows = read.select(*others, F.inline(F.concat(executed, variables)))
+    found = script_text.statement_kind(F.col("code"))
+    return rows.select(
+        *others, "pos", "stmt", *[found[name].alias(name) for name in found], "sql_id"
     )
-    return classified.select(*others, F.inline(F.concat(executed, passed_over)))

@@ -30,21 +30,17 @@ def _measured(statements: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _document_script(begin: str, end: str, literal: bool) -> Column:
-    """A document as a script with one statement per line of its text."""
-    return F.array_join(
-        F.transform(
-            F.split("text", "\n", -1),
-            lambda line: _joined(begin, _literal_text(line) if literal else line, end),
-        ),
-        "\n",
-    )
+def _document_script(text: Column, begin: str, end: str) -> Column:
+    """A text as a script with one statement per line."""
+    return _joined(begin, F.replace(text, F.lit("\n"), F.lit(f"{end}\n{begin}")), end)
 
 
 def split_statements_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Separators, quotes and comment marks inside literals, comments and quoted names."""
     script = _document_script(
-        "select '", ";--/*' as `a;b`, \";\" /* ; it's -- */ ; -- don't; /*", literal=True
+        _literal_text(F.col("text")),
+        "select '",
+        ";--/*' as `a;b`, \";\" /* ; it's -- */ ; -- don't; /*",
     )
     documents = table(spark, folder, "documents").select("doc_id", script.alias("text"))
     return _measured(scripts.split_statements(documents), "doc_id", "pos", "malformed")
@@ -64,7 +60,7 @@ def split_statements_nested(spark: SparkSession, folder: str) -> DataFrame:
 def split_simple_documents(spark: SparkSession, folder: str) -> DataFrame:
     """A semicolon put behind every line of every document."""
     documents = table(spark, folder, "documents").select(
-        "doc_id", _document_script("", ";", literal=False).alias("text")
+        "doc_id", _document_script(F.col("text"), "", ";").alias("text")
     )
     return _measured(scripts.split_statements_simple(documents), "doc_id", "pos")
 
@@ -219,7 +215,8 @@ ORACLE = {
     "split_statements_documents": f"""
 WITH {_LINES.format(keys="doc_id", table="documents")},
 statements AS (
-    SELECT doc_id, line_no, 'select ''' || replace(replace(line, chr(92), chr(92) || chr(92)),
+    SELECT doc_id, line_no, CASE WHEN line_no > 0 THEN '-- don''t; /*' || chr(10) ELSE '' END
+        || 'select ''' || replace(replace(line, chr(92), chr(92) || chr(92)),
         '''', '''''') || ';--/*'' as `a;b`, ";" /* ; it''s -- */' AS stmt
     FROM lines
 )
