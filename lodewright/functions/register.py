@@ -8,7 +8,7 @@ from lodewright.functions.text import SPACE
 
 _FUNCTIONS = {
     "xtrim": f"""(s STRING) RETURNS STRING
-        RETURN regexp_replace(nullif(s, ''), r'{SPACE}++', '')""",
+        RETURN regexp_replace(nullif(s, ''), r'(?U){SPACE}', '')""",
     "week_of_year": """(d DATE) RETURNS STRING
         RETURN lpad(cast(floor((dayofyear(d) + 6 - weekday(d)) / 7) AS STRING), 2, '0')""",
     "iso_weekday": """(d DATE) RETURNS INT

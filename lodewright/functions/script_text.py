@@ -159,7 +159,7 @@ def without_comments(script: Column) -> Column:
 
 
 # A separator is a semicolon before the end, a line end or a line comment.
-_LINE_SEPARATOR = rf";{SPACE}*$|;(?={SPACE}*\n)|;(?={SPACE}*--)"
+_LINE_SEPARATOR = rf"(?U);{SPACE}*$|;(?={SPACE}*\n)|;(?={SPACE}*--)"
 
 
 def statements_at_line_ends(text: Column) -> Column:
@@ -188,7 +188,7 @@ def variables(text: Column) -> Column:
         ),
     )
     none = F.array().cast("array<struct<k: string, v: string>>")
-    return F.when(text.rlike(rf"(?i)set{SPACE}+var:"), pairs).otherwise(none)
+    return F.when(text.rlike(rf"(?iU)set{SPACE}+var:"), pairs).otherwise(none)
 
 
 def rendered(text: Column, script_variables: Column, external: Mapping[str, str]) -> Column:

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from lodewright.operators import scripts
 from lodewright.operators.dictionary import ddl_dictionary
 from lodewright.session import shared_dir
-from lodewright.sources.files import read_scripts, table
+from lodewright.sources.files import read_scripts, spread, table
+
+
+
+def _rows(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    return spread(table(spark, folder, name).select(*columns))
+
 
 _FIELDS = ["table_name", "table_comment", "field_name", "field_comment", "field_type"]
 
@@ -42,7 +48,9 @@ def split_statements_documents(spark: SparkSession, folder: str) -> DataFrame:
         "select '",
         ";--/*' as `a;b`, \";\" /* ; it's -- */ ; -- don't; /*",
     )
-    documents = table(spark, folder, "documents").select("doc_id", script.alias("text"))
+    documents = _rows(spark, folder, "documents", "doc_id", "text").select(
+        "doc_id", script.alias("text")
+    )
     return _measured(scripts.split_statements(documents), "doc_id", "pos", "malformed")
 
 
@@ -53,13 +61,15 @@ def split_statements_nested(spark: SparkSession, folder: str) -> DataFrame:
         "\n-- only a comment;\nselect '", F.col("event_type"), ";/*' as kind ;select /* /* x; */ */ '",
         F.col("props"), "'",
     )
-    events = table(spark, folder, "events").select("event_id", script.alias("text"))
+    events = _rows(spark, folder, "events", "event_id", "event_type", "props").select(
+        "event_id", script.alias("text")
+    )
     return scripts.split_statements(events)
 
 
 def split_simple_documents(spark: SparkSession, folder: str) -> DataFrame:
     """A semicolon put behind every line of every document."""
-    documents = table(spark, folder, "documents").select(
+    documents = _rows(spark, folder, "documents", "doc_id", "text").select(
         "doc_id", _document_script(F.col("text"), "", ";").alias("text")
     )
     return _measured(scripts.split_statements_simple(documents), "doc_id", "pos")
@@ -77,7 +87,7 @@ def variables_extracted(spark: SparkSession, folder: str) -> DataFrame:
         "\n",
     )
     script = _joined("set var:role=", F.col("role"), ";\n-- set var: off = 1;\n", values)
-    messages = table(spark, folder, "conversations").select(
+    messages = _rows(spark, folder, "conversations", "conv_id", "turn", "role", "text").select(
         "conv_id", "turn", script.alias("text")
     )
     return scripts.extract_variables(messages)
@@ -89,7 +99,7 @@ def templates_rendered(spark: SparkSession, folder: str) -> DataFrame:
         "set var: line = ${who} said ${n}\nset var: who = ", F.col("role"),
         ";\nselect '${who}', '${line}', '${missing}', '${n}';\n/* ", F.col("text"), " ${who} */",
     )
-    messages = table(spark, folder, "conversations").select(
+    messages = _rows(spark, folder, "conversations", "conv_id", "turn", "role", "text").select(
         "conv_id", "turn", script.alias("text")
     )
     return scripts.render_templates(messages, {"n": "7", "who": "nobody"})
@@ -101,7 +111,9 @@ def comments_stripped(spark: SparkSession, folder: str) -> DataFrame:
         "-- head: it's\n/* block\n-- over ", F.col("lang"), "\n */\nselect /*+ coalesce(1) */ '",
         _literal_text(F.col("text")), "--x' /* in line */ -- tail ;\n/* a /* b */ c */",
     )
-    documents = table(spark, folder, "documents").select("doc_id", script.alias("text"))
+    documents = _rows(spark, folder, "documents", "doc_id", "lang", "text").select(
+        "doc_id", script.alias("text")
+    )
     stripped = scripts.strip_comments(documents)
     return stripped.select(
         "doc_id", F.length("text").alias("text_length"), F.md5("text").alias("text_md5")
@@ -117,7 +129,9 @@ def statements_classified(spark: SparkSession, folder: str) -> DataFrame:
         "\nwith s as (select 1) insert into t select ", key, ";from s insert overwrite t select *;",
         "\nINSERT INTO ", F.lower("o_orderstatus"), " values (", key, ");\nset reset",
     )
-    orders = table(spark, folder, "orders").select("o_orderkey", script.alias("text"))
+    orders = _rows(spark, folder, "orders", "o_orderkey", "o_orderdate", "o_orderstatus").select(
+        "o_orderkey", script.alias("text")
+    )
     return scripts.classify_statements(orders).drop("stmt")
 
 
@@ -128,10 +142,17 @@ def statement_sets_unwrapped(spark: SparkSession, folder: str) -> DataFrame:
         "use d;\nEXECUTE   STATEMENT SET\n BEGIN\ninsert into t select case when ", key,
         " > 1 then 'weekend;' END;\ninsert into u select ", key, "; END ;\nselect 'end';",
     )
-    orders = table(spark, folder, "orders").select("o_orderkey", script.alias("text"))
+    orders = _rows(spark, folder, "orders", "o_orderkey").select(
+        "o_orderkey", script.alias("text")
+    )
     return scripts.unwrap_statement_set(orders)
 
 
+def _part_scripts(spark: SparkSession, folder: str) -> DataFrame:
+    parts = _rows(spark, folder, "part", "p_partkey", "p_name", "p_type", "p_size")
+    return parts.select("p_partkey", _part_ddl().alias("text"))
+
+
 def _part_ddl() -> Column:
     key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
     return _joined(
@@ -145,14 +166,12 @@ def _part_ddl() -> Column:
 
 def ddl_dictionary_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Two tables and five columns declared per part."""
-    ddl = table(spark, folder, "part").select("p_partkey", _part_ddl().alias("text"))
-    return ddl_dictionary(ddl).drop("pos")
+    return ddl_dictionary(_part_scripts(spark, folder)).drop("pos")
 
 
 def ddl_dictionary_folded(spark: SparkSession, folder: str) -> DataFrame:
     """The same with comments in lower case, as in the dictionary's file."""
-    ddl = table(spark, folder, "part").select("p_partkey", _part_ddl().alias("text"))
-    return ddl_dictionary(ddl, fold_case=True).select(*_FIELDS)
+    return ddl_dictionary(_part_scripts(spark, folder), fold_case=True).select(*_FIELDS)
 
 
 def scripts_from_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,7 +17,7 @@ from lodewright.session import shared_dir
 from lodewright.sinks.fanout import Sink, write_sinks
 from lodewright.sinks.files import TEXT_OPTIONS, compact, write_csv
 from lodewright.sinks.tables import create_table_as, insert_select, publish
-from lodewright.sources.files import read_csv, table
+from lodewright.sources.files import read_csv, spread, table
 from lodewright.sources.rows import inline_rows
 
 
@@ -31,13 +31,19 @@ def _measured(rows: DataFrame, key: str, trimmed: F.Column) -> DataFrame:
 
 def xtrim_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents without white space."""
-    return _measured(table(spark, folder, "documents"), "doc_id", xtrim("text"))
+    return _measured(
+        spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id", xtrim("text")
+    )
 
 
 def xtrim_function_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Whole pages without white space, through the registered SQL function."""
     register_functions(spark)
-    return _measured(table(spark, folder, "pages"), "page_id", F.expr("xtrim(html)"))
+    return _measured(
+        spread(table(spark, folder, "pages").select("page_id", "html")),
+        "page_id",
+        F.expr("xtrim(html)"),
+    )
 
 
 def first_value_per_user(spark: SparkSession, folder: str) -> DataFrame:

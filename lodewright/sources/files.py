@@ -54,3 +54,13 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """
     schema = table(spark, folder, name).schema
     return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """The rows of a scan over at least as many partitions as there are cores.
+
+    For work that is heavy per byte: a small file is read by one task. A scan that has enough
+    partitions already, as any large table has, is returned as it is and not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
