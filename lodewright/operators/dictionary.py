@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodewright.functions import script_text
 from lodewright.functions.script_text import BACK_QUOTED, DOUBLE_QUOTED, QUOTED, SINGLE_QUOTED
 from lodewright.functions.text import collapse_spaces, strip
-from lodewright.operators.scripts import marked
+from lodewright.operators.scripts import each, marked
 
 # The dictionary's columns and the headings of its CSV file.
 HEADINGS = {
@@ -100,10 +100,11 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     others = [name for name in scripts.columns if name != text]
     code = F.col("code")
     after_head = F.length("head") + F.lit(2)
+    parts = each(
+        marked(scripts, text), others, script_text.statements(F.col(text)), "part"
+    )
     tables = (
-        marked(scripts, text)
-        .select(*others, F.posexplode(script_text.statements(F.col(text))).alias("pos", "part"))
-        .select(*others, "pos", collapse_spaces(F.col("part.code")).alias("code"))
+        parts.select(*others, "pos", collapse_spaces(F.col("part.code")).alias("code"))
         .where(code.rlike(_CREATE_TABLE))
         .select(*others, "pos", "code", F.regexp_extract("code", _HEAD, 0).alias("head"))
         .select(
@@ -116,14 +117,16 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     head = F.col("head")
     after_name = strip(F.regexp_replace(F.regexp_replace(head, _TABLE_NAME, ""), _COMMENT, ""))
     options = F.concat_ws(" ", head, F.col("body.now"))
-    columns = tables.where((F.col("body.depth") == F.lit(0)) & (after_name == F.lit(""))).select(
+    fields = F.filter(F.transform("body.fields", strip), lambda field: field != F.lit(""))
+    closed = tables.where((F.col("body.depth") == F.lit(0)) & (after_name == F.lit(""))).select(
         *others,
-        "pos",
+        F.col("pos").alias("stmt_pos"),
         F.lower(F.regexp_extract(head, _TABLE_NAME, 1)).alias("table_name"),
         _unquoted_comment(options, fold_case).alias("table_comment"),
-        F.posexplode(
-            F.filter(F.transform("body.fields", strip), lambda field: field != F.lit(""))
-        ).alias("field_pos", "field"),
+        fields.alias("fields"),
+    )
+    columns = each(
+        closed, [*others, "stmt_pos", "table_name", "table_comment"], F.col("fields"), "field"
     )
     field = F.col("field")
     tight = F.regexp_replace(
@@ -134,8 +137,8 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     name_and_type = rf"^({_NAME})(?: ([^ ]++))?"
     return columns.select(
         *others,
-        "pos",
-        "field_pos",
+        F.col("stmt_pos").alias("pos"),
+        F.col("pos").alias("field_pos"),
         "table_name",
         "table_comment",
         F.lower(F.regexp_extract(tight, name_and_type, 1)).alias("field_name"),

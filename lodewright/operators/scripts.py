@@ -18,6 +18,16 @@ def _others(scripts: DataFrame, text: str) -> list[str]:
     return [name for name in scripts.columns if name != text]
 
 
+def each(rows: DataFrame, others: list[str], array: Column, value: str) -> DataFrame:
+    """One row per element of ``array``: the columns ``others``, ``pos`` and ``value``.
+
+    The outer generator's row for an empty array is dropped again. For an inner generator Spark
+    infers a filter on the array's size, and so computes a costly array a second time.
+    """
+    exploded = rows.select(*others, F.posexplode_outer(array).alias("pos", value))
+    return exploded.where(F.col("pos").isNotNull())
+
+
 def marked(scripts: DataFrame, text: str = "text") -> DataFrame:
     """The scripts as ``script_text.statements`` and its like read them."""
     return scripts.withColumn(text, script_text.marked(F.col(text)))
@@ -32,21 +42,21 @@ def split_statements(scripts: DataFrame, text: str = "text") -> DataFrame:
         script_text.malformed(F.col(text)).alias("malformed"),
         script_text.statements(F.col(text)).alias("parts"),
     )
-    rows = read.select(*others, "malformed", F.posexplode("parts").alias("pos", "part"))
+    rows = each(read, [*others, "malformed"], F.col("parts"), "part")
     return rows.select(*others, "pos", "part.stmt", "malformed")
 
 
 def split_statements_simple(scripts: DataFrame, text: str = "text") -> DataFrame:
     """``pos`` and ``stmt``, split only at semicolons that end a line."""
     parts = script_text.statements_at_line_ends(F.col(text))
-    return scripts.select(*_others(scripts, text), F.posexplode(parts).alias("pos", "stmt"))
+    return each(scripts, _others(scripts, text), parts, "stmt")
 
 
 def extract_variables(scripts: DataFrame, text: str = "text") -> DataFrame:
     """``pos``, ``k`` and ``v`` for each ``set var:`` line."""
     others = _others(scripts, text)
-    pairs = F.posexplode(script_text.variables(F.col(text))).alias("pos", "pair")
-    return scripts.select(*others, pairs).select(*others, "pos", "pair.k", "pair.v")
+    pairs = each(scripts, others, script_text.variables(F.col(text)), "pair")
+    return pairs.select(*others, "pos", "pair.k", "pair.v")
 
 
 def render_templates(
@@ -100,8 +110,8 @@ def classify_statements(scripts: DataFrame, text: str = "text") -> DataFrame:
         lambda part: row(part, F.lit(None)),
     )
     read = marked(scripts, text).select(*others, parts.alias("parts"))
-    rows = read.select(*others, F.inline(F.concat(executed, variables)))
+    rows = each(read, others, F.concat(executed, variables), "part")
     found = script_text.statement_kind(F.col("code"))
-    return rows.select(
+    return rows.select(*others, "part.*").select(
         *others, "pos", "stmt", *[found[name].alias(name) for name in found], "sql_id"
     )
