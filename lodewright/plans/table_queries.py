@@ -247,10 +247,10 @@ def segment_revenue_steps(spark: SparkSession, folder: str) -> DataFrame:
     ]
     run_steps(session, steps, {"excluded": "P"}, init, sinks)
     insert_select(session.sql("SELECT 'Machines' AS label, 'MACHINERY' AS segment"), "markets")
-    return session.sql(
+    return spark.sql(
         f"""SELECT r.segment, m.label, r.year, r.orders, r.revenue
             FROM spark_catalog.{database}.revenue r
-            LEFT JOIN markets m ON r.segment = m.segment"""
+            LEFT JOIN spark_catalog.{database}.markets m ON r.segment = m.segment"""
     )
 
 

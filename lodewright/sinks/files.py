@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -32,19 +35,23 @@ def compact(
     target: str,
     file_format: str,
     schema: StructType | str,
-    where: Column | None = None,
+    partition: Mapping[str, str] | None = None,
     file_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
-    """Write the rows of the finished folder ``source`` to ``target`` in files of ``file_bytes``.
+    """Write the rows of the folder ``source`` to ``target`` in files of about ``file_bytes``.
 
-    ``where`` picks one partition. Each task reads several small files and writes one file, so
-    nothing is shuffled. ``source`` stays as it is: a stream may still hold its file log. Readers
-    are moved over with ``tables.publish`` or ``tables.publish_partition``. Returns the file count.
+    ``partition`` picks one finished partition, whose columns are left out of the files. Name the
+    folder that a stream writes to, not one below it: only there does Spark see the stream's file
+    log and pass over files that were never committed. Each task reads several small files and
+    writes one, so nothing is shuffled. ``source`` stays as it is, and readers are moved over with
+    ``tables.publish_partition``. Returns the number of files.
     """
     rows = spark.read.schema(schema).options(**TEXT_OPTIONS).format(file_format).load(source)
-    if where is not None:
-        rows = rows.where(where)
-    files = max(1, -(-folder_bytes(spark, source) // file_bytes))
+    folder = source
+    for name, value in (partition or {}).items():
+        rows = rows.where(F.col(name) == F.lit(value)).drop(name)
+        folder = f"{folder}/{name}={value}"
+    files = max(1, -(-folder_bytes(spark, folder) // file_bytes))
     few = rows.coalesce(files).write.options(**TEXT_OPTIONS)
     few.format(file_format).mode("errorifexists").save(target)
     return files

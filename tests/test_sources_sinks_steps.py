@@ -111,9 +111,10 @@ def test_compacted_partition_of_a_table(spark, tmp_path):
     rows.repartition(40).write.partitionBy("day").json(small)
     spark.sql(f"CREATE TABLE days (id BIGINT, day STRING) USING json PARTITIONED BY (day) LOCATION '{small}'")
     spark.sql("MSCK REPAIR TABLE days")
-    files = compact(spark, f"{small}/day=2024-01-01", large, "json", "id bigint")
+    day = {"day": "2024-01-01"}
+    files = compact(spark, small, large, "json", "id bigint, day string", day)
     assert files == 1 and len(list((tmp_path / "large").glob("part-*"))) == 1
-    publish_partition(spark, "days", {"day": "2024-01-01"}, large)
+    publish_partition(spark, "days", day, large)
     counts = spark.table("days").groupBy("day").agg(F.count("*"), F.sum("id")).orderBy("day")
     assert [tuple(row) for row in counts.collect()] == [
         ("2024-01-01", 600, 179700), ("2024-01-02", 400, 319800)
@@ -133,7 +134,8 @@ def test_settings():
 def test_steps(spark, tmp_path):
     session = spark.newSession()
     init = [f"CREATE DATABASE steps LOCATION '{tmp_path}/db'", "USE steps",
-            "CREATE TABLE t (id BIGINT COMMENT 'key', name STRING) USING parquet COMMENT 'a table'"]
+            "CREATE TABLE t (id BIGINT COMMENT 'key', name STRING) USING parquet COMMENT 'a table'",
+            "CREATE TABLE ids (id BIGINT) USING parquet"]
     steps = [
         ("numbers", lambda session: session.range(4)),
         ("named", "SELECT id, concat('n', id) AS name FROM numbers WHERE id >= :low"),
@@ -141,13 +143,16 @@ def test_steps(spark, tmp_path):
         ("seen", "SELECT count(1) AS rows FROM t"),
         ("tables", "SHOW TABLES"),
     ]
-    sinks = [("t", "INSERT INTO t SELECT * FROM named"),
-             ("t2", "INSERT INTO t VALUES (9, 'nine')")]
+    sinks = [
+        ("both", "FROM named INSERT INTO t SELECT id, name INSERT INTO ids SELECT id"),
+        ("t", "INSERT INTO t VALUES (9, 'nine')"),
+    ]
     results = run_steps(session, steps, {"low": 2}, init, sinks)
     assert "t" in [row.tableName for row in results["tables"].collect()]
     insert_select(session.sql("SELECT 'ten' AS name, 10L AS id"), "t")
     rows = session.table("spark_catalog.steps.t").orderBy("id").collect()
     assert [tuple(row) for row in rows] == [(2, "n2"), (3, "n3"), (9, "nine"), (10, "ten")]
+    assert sorted(row.id for row in session.table("ids").collect()) == [2, 3]
     assert preview(session.range(100)).count() == 20
     assert spark.catalog.currentDatabase() == "default"
     with pytest.raises(StepError, match="step wrong failed: SELECT x FROM nowhere") as caught:
@@ -161,3 +166,14 @@ def test_shared_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         assert shared_dir(spark, "x").startswith(base.rstrip("/") + "/lodewright/x-")
+
+
+def test_compacting_a_stream_passes_over_uncommitted_files(spark, tmp_path):
+    source, path = str(tmp_path / "source"), str(tmp_path / "rows")
+    spark.range(30).write.parquet(source)
+    stream = follow(spark, source, "id bigint", "parquet")
+    start_copy(stream, path, StreamSettings(str(tmp_path / "checkpoint"))).awaitTermination()
+    (tmp_path / "rows" / "part-left-over.json").write_text('{"id": 999}\n')
+    compact(spark, path, str(tmp_path / "few"), "json", "id bigint")
+    rows = spark.read.schema("id bigint").json(str(tmp_path / "few"))
+    assert sorted(row.id for row in rows.collect()) == list(range(30))
