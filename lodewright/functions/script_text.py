@@ -213,37 +213,43 @@ _ADD_JAR = r"(?is)^add\s+jar\s+(.*)\z"
 _INSERT = r"(?is)^(?:with|from)\b.*\binsert\s+(?:into|overwrite)\b"
 
 
-def sets_variable(code: Column) -> Column:
-    """Whether a statement without comments is a ``set var:`` line."""
-    return F.regexp_extract(code, _LEAD, 0).endswith(":")
+def leading_words(code: Column) -> Column:
+    """The words in lower case that tell a statement's kind; the statement has no comments."""
+    return F.lower(F.regexp_extract(code, _LEAD, 0))
 
 
-def statement_kind(code: Column) -> dict[str, Column]:
-    """``kind``, ``key`` and ``value`` of a statement without comments.
+def sets_variable(lead: Column) -> Column:
+    """Whether a statement that starts with ``lead`` is a ``set var:`` line."""
+    return lead.endswith(":")
 
-    Kinds: ``blank``, ``set_variable`` and ``set`` (with key and value), ``add_jar`` (the path as
-    value), ``insert`` (also after ``WITH`` or ``FROM``) and ``other``. The leading keywords
-    decide; words inside literals do not count.
+
+def statement_kind(code: Column, lead: Column) -> Column:
+    """``blank``, ``set_variable``, ``set``, ``add_jar``, ``insert`` or ``other``.
+
+    The leading words decide, also for an ``INSERT`` after ``WITH`` or ``FROM``; words inside
+    literals do not count.
     """
-    lead = F.lower(F.regexp_extract(code, _LEAD, 0))
     inserts = F.regexp_replace(code, QUOTED, "''").rlike(_INSERT)
-    is_variable, is_set = lead.endswith(":"), lead == F.lit("set")
-    is_jar = lead.rlike(r"^add\s+jar$")
-    kind = (
+    return (
         F.when(code == F.lit(""), F.lit("blank"))
-        .when(is_variable, F.lit("set_variable"))
-        .when(is_set, F.lit("set"))
-        .when(is_jar, F.lit("add_jar"))
+        .when(sets_variable(lead), F.lit("set_variable"))
+        .when(lead == F.lit("set"), F.lit("set"))
+        .when(lead.rlike(r"^add\s+jar$"), F.lit("add_jar"))
         .when(lead == F.lit("insert"), F.lit("insert"))
         .when(lead.isin("with", "from") & inserts, F.lit("insert"))
         .otherwise(F.lit("other"))
     )
 
+
+def statement_key_and_value(code: Column, kind: Column) -> tuple[Column, Column]:
+    """Key and value of a variable or setting; for ``add_jar`` the path as value."""
+
     def unquoted(pattern: str, group: int) -> Column:
         return strip(F.regexp_replace(F.regexp_extract(code, pattern, group), "['\"]", ""))
 
     one_line = collapse_spaces(code)
-    assigns = is_set & code.contains("=")
+    is_variable, is_jar = kind == F.lit("set_variable"), kind == F.lit("add_jar")
+    assigns = (kind == F.lit("set")) & code.contains("=")
     key = F.when(is_variable, F.regexp_extract(one_line, _VARIABLE, 1)).when(
         assigns, unquoted(_SET, 1)
     )
@@ -252,7 +258,7 @@ def statement_kind(code: Column) -> dict[str, Column]:
         .when(assigns, unquoted(_SET, 2))
         .when(is_jar, unquoted(_ADD_JAR, 1))
     )
-    return {"kind": kind, "key": key, "value": value}
+    return key, value
 
 
 _STATEMENT_SET = (

@@ -19,7 +19,7 @@ WEEKEND = "周末"
 
 def date_span(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row ``(start, end)``."""
-    return spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
+    return spark.range(0, 1, 1, 1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
 
 
 def days_in(start: date, end: date) -> int:

@@ -89,7 +89,7 @@ def classify_statements(scripts: DataFrame, text: str = "text") -> DataFrame:
             pos.alias("pos"),
             part["stmt"].alias("stmt"),
             part["code"].alias("code"),
-            script_text.sets_variable(part["code"]).alias("sets_variable"),
+            script_text.leading_words(part["code"]).alias("lead"),
         ),
     )
 
@@ -98,20 +98,23 @@ def classify_statements(scripts: DataFrame, text: str = "text") -> DataFrame:
             part["pos"].alias("pos"),
             part["stmt"].alias("stmt"),
             part["code"].alias("code"),
+            part["lead"].alias("lead"),
             sql_id.cast("int").alias("sql_id"),
         )
 
     executed = F.transform(
-        F.filter("parts", lambda part: ~part["sets_variable"]),
+        F.filter("parts", lambda part: ~script_text.sets_variable(part["lead"])),
         lambda part, index: row(part, index + F.lit(1)),
     )
     variables = F.transform(
-        F.filter("parts", lambda part: part["sets_variable"]),
+        F.filter("parts", lambda part: script_text.sets_variable(part["lead"])),
         lambda part: row(part, F.lit(None)),
     )
     read = marked(scripts, text).select(*others, parts.alias("parts"))
-    rows = each(read, others, F.concat(executed, variables), "part")
-    found = script_text.statement_kind(F.col("code"))
-    return rows.select(*others, "part.*").select(
-        *others, "pos", "stmt", *[found[name].alias(name) for name in found], "sql_id"
+    rows = each(read, others, F.concat(executed, variables), "part").select(*others, "part.*")
+    code = F.col("code")
+    kinds = rows.withColumn("kind", script_text.statement_kind(code, F.col("lead")))
+    key, value = script_text.statement_key_and_value(code, F.col("kind"))
+    return kinds.select(
+        *others, "pos", "stmt", "kind", key.alias("key"), value.alias("value"), "sql_id"
     )
