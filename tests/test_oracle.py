@@ -38,11 +38,12 @@ def _rows(table, columns):
     return Counter(zip(*[table.column(name).to_pylist() for name in columns]))
 
 
-def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+def test_every_query_of_the_library_itself_has_sql():
+    own = {name for module in registered.LIBRARY for name in module.QUERIES}
+    assert own <= set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_query_equals_sql(spark, database, name):
     result = registered.queries()[name](spark, FOLDER)
     relation = database.sql(registered.oracle_sql()[name])
