@@ -2,8 +2,42 @@
 
 from __future__ import annotations
 
-from lodewright.llm import packing
-from lodewright.llm.tables import table
+from pyspark.sql import functions as F
+
+from lodewright.llm import fingerprints, packing, vantage, warc
+from lodewright.llm.tables import documents, table
+
+
+def op1_warc(spark, folder):
+    found = warc.round_trip(table(spark, folder, "pages"))
+    return found.select(
+        warc.page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+        F.col("target_uri").alias("url"),
+        F.col("offset").alias("archive_offset"),
+    )
+
+
+def op7_document_fingerprints(spark, folder):
+    found = fingerprints.edited(documents(table(spark, folder, "documents")))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        fingerprints.distinct_shingles(F.col("sketch")).alias("shingles"),
+    )
+
+
+def op8_nearest_vectors(spark, folder):
+    frame = table(spark, folder, "embeddings")
+    return vantage.nearest(frame, frame.where("vec_id % 50 = 0"), k=5)
 
 
 def op10_best_fit_packing(spark, folder):
