@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodewright.llm import fingerprints, packing, vantage, warc
+from lodewright.llm import fingerprints, licenses, packing, toxicity, vantage, warc
 from lodewright.llm.tables import documents, table
 
 
@@ -21,6 +21,17 @@ def op1_warc(spark, folder):
     )
 
 
+def op6_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = toxicity.toxicity(docs, labels, ["doc_id"])
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_document_fingerprints(spark, folder):
     found = fingerprints.edited(documents(table(spark, folder, "documents")))
     return found.select(
@@ -40,6 +51,11 @@ def op8_nearest_vectors(spark, folder):
     return vantage.nearest(frame, frame.where("vec_id % 50 = 0"), k=5)
 
 
+def op9_license_scan(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.drop("licences")
+
+
 def op10_best_fit_packing(spark, folder):
     import public_tokenizers
 
@@ -48,4 +64,4 @@ def op10_best_fit_packing(spark, folder):
 
 
 QUERIES = {name: value for name, value in list(globals().items()) if name.startswith("op")}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op9_license_scan": licenses.ORACLE}
