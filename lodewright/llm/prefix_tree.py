@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodewright.llm.tables import documents, written
+from lodewright.llm.tables import discard, documents, written
 
 WORDS = 3
 # A link: shared n-grams are at least PERCENT of 100 of those of either.
@@ -36,6 +36,9 @@ SHARED = 64
 FEW = 17
 # Classes of an n-gram that meet in one task at once.
 BLOCK = 256
+PLACE_BITS = 12
+LAST_PLACE = (1 << PLACE_BITS) - 1
+FILTER_BITS = 1 << 24
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -294,7 +297,7 @@ def join(
     """
     docs = documents(frame, text, key)
     frequent = _frequent(docs, words, percent)
-    described = written(_described(docs, frequent, words, percent), "sets")
+    described = _described(docs, frequent, words, percent)
     classes = (
         described.where("set_key is not null")
         .groupBy("set_key")
@@ -302,9 +305,26 @@ def join(
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    grams = classes.select("cid", "n", F.posexplode("firsts").alias("place", "token"))
-    common = grams.groupBy("token").agg(F.count("*").alias("number"), F.min("cid").alias("hub")).where("number > 1")
-    rows = written(grams.join(common, "token"), "grams")
+    # The place is kept in the number's low bits, at most LAST_PLACE: a smaller place rules out less.
+    place = F.least(F.col("place"), F.lit(LAST_PLACE)).cast("long")
+    grams = classes.select("cid", F.posexplode("firsts").alias("place", "token")).select(
+        "token", F.shiftleft("cid", PLACE_BITS).bitwiseOR(place).alias("code")
+    )
+    common = (
+        grams.groupBy("token")
+        .agg(F.count("*").alias("number"), F.min("code").alias("hub"))
+        .where("number > 1")
+        .select("token", F.shiftright("hub", PLACE_BITS).alias("hub"))
+    )
+    rows = written(
+        grams.join(common, "token").select(
+            "token",
+            F.shiftright("code", PLACE_BITS).alias("cid"),
+            F.col("code").bitwiseAND(F.lit(LAST_PLACE)).alias("place"),
+            "hub",
+        ),
+        "grams",
+    )
     bits = classes.select("cid", "n", *_BIT_NAMES)
 
     # First round: each class and that hub with which it shares most of its first n-grams.
@@ -317,13 +337,11 @@ def join(
         .where(_parity("x", "y") <= _slack(F.col("x.n"), F.col("y.n"), percent))
         .select(F.col("cid").alias("a"), F.col("hub").alias("b"))
     )
-    wanted = rows.select("cid").distinct().join(classes.select("cid", "text_key"), "cid")
-    sets = written(_sets(docs, wanted, words), "grams-of")
-    links = written(_decided(first, sets, frequent, percent), "links")
+    links = _linked(docs, classes, first, frequent, words, percent)
     known = components(links)
 
     # Second round: n-grams whose classes are in several components still.
-    placed = rows.select("token", "cid", "n", "place").join(known, "cid", "left")
+    placed = rows.select("token", "cid", "place").join(known, "cid", "left")
     placed = placed.withColumn("component", F.coalesce("component", "cid"))
     spread = (
         placed.groupBy("token", "component")
@@ -343,7 +361,7 @@ def join(
             F.ceil((F.col("number") - F.col("most")) / BLOCK).alias("other_parts"),
         )
     )
-    open_rows = placed.join(spread, "token").join(bits.drop("n"), "cid")
+    open_rows = placed.join(spread, "token").join(bits, "cid")
     in_main = F.col("component") == F.col("main")
     part = F.pmod(F.xxhash64("cid"), F.when(in_main, F.col("main_parts")).otherwise(F.col("other_parts")))
     open_rows = written(open_rows.withColumn("in_main", in_main).withColumn("part", part), "open")
@@ -376,7 +394,7 @@ def join(
     second = met.select(
         F.greatest("x.cid", "y.cid").alias("a"), F.least("x.cid", "y.cid").alias("b")
     ).distinct()
-    more = written(_decided(written(second, "pairs"), sets, frequent, percent), "links")
+    more = _linked(docs, classes, second, frequent, words, percent)
     final = components(links.unionAll(more))
 
     by_class = classes.select("cid", "set_key").join(final, "cid", "left")
@@ -390,10 +408,49 @@ def join(
     )
 
 
+def _linked(
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, frequent: np.ndarray, words: int, percent: int
+) -> DataFrame:
+    """The pairs that are linked, written."""
+    pairs = written(pairs, "pairs")
+    ends = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
+    wanted = written(ends.join(classes.select("cid", "text_key"), "cid"), "wanted")
+    sets = written(_sets(docs, wanted, words), "grams-of")
+    links = written(_decided(pairs, sets, frequent, percent), "links")
+    discard(pairs, wanted, sets)
+    return links
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cid, grams): the sorted hashes of the wanted classes, each from one of its texts."""
+    """(cid, grams): the sorted hashes of the wanted classes, each from one of its texts.
+
+    A filter of FILTER_BITS bits, as large for any table, keeps most other texts out of the shuffle.
+    """
+    spot = F.pmod(F.xxhash64("text_key"), F.lit(FILTER_BITS))
+    longs = (
+        wanted.select(spot.alias("spot"))
+        .groupBy(F.shiftright("spot", 6).alias("slot"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[longs.column("slot").to_numpy()] = longs.column("bits").to_numpy()
+    held = np.unpackbits(held.view(np.uint8), bitorder="little")
+    packed = np.packbits(held, bitorder="little").tobytes()
+
+    def pass_on(batches):
+        bits = np.frombuffer(packed, np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            keep = pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+            found = batch.filter(keep)
+            yield pa.RecordBatch.from_arrays(found.columns[1:], ["text_key", "text"])
+
     keyed = docs.select(F.unhex(F.md5("text")).alias("text_key"), "text")
-    texts = keyed.join(wanted, "text_key").groupBy("cid").agg(F.first("text").alias("text"))
+    near = keyed.select(spot.alias("spot"), "text_key", "text").mapInArrow(
+        pass_on, "text_key binary, text string"
+    )
+    texts = near.join(wanted, "text_key").groupBy("cid").agg(F.first("text").alias("text"))
 
     def collect(batches):
         for batch in batches:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,23 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = shared_dir(spark, label)
     frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    stored = spark.read.schema(frame.schema).parquet(path)
+    stored.written_at = path
+    return stored
+
+
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it; for files that Spark has no reader for."""
+    if "://" in uri or uri.startswith("file:"):
+        return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
+    return fs.LocalFileSystem(), uri
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``written`` wrote, once nothing that is still to run reads it."""
+    for frame in frames:
+        source, path = open_folder(frame.written_at)
+        source.delete_dir(path)
 
 
 def lower_ascii(text):

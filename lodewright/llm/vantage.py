@@ -14,8 +14,7 @@ import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodewright.llm.tables import written
-from lodewright.llm.warc import open_folder
+from lodewright.llm.tables import open_folder, written
 
 LEAF = 256
 SHARD_ROWS = 16_384
@@ -179,8 +178,7 @@ def nearest(
 
     asked = clean(queries).groupBy("id").agg(F.min("vector").alias("vector"))
     stored = written(asked, "queries")
-    folder = stored.inputFiles()
-    base = folder[0].rsplit("/", 1)[0] if folder else None
+    base = stored.written_at
     rows = clean(frame)
     shards = max(1, -(-rows.count() // shard_rows))
 
@@ -189,7 +187,7 @@ def nearest(
         for batch in batches:
             ids.append(batch.column(0).to_numpy())
             vectors.append(batch.column(1))
-        if not ids or base is None:
+        if not ids:
             return
         joined = pa.chunked_array(vectors).combine_chunks()
         trees = {

@@ -15,11 +15,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodewright.llm.tables import written
+from lodewright.llm.tables import open_folder, written
 from lodewright.session import shared_dir
 
 # Fixed values of the formats: how a deflated gzip member begins, how a WARC header begins and ends.
@@ -38,12 +37,6 @@ RECORDS = (
 )
 
 
-def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    if "://" in uri or uri.startswith("file:"):
-        return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
-    return fs.LocalFileSystem(), uri
-
-
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
