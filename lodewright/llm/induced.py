@@ -22,6 +22,8 @@ from collections.abc import Iterator
 import numpy as np
 
 FAN = 512
+# A string of names this many times the queue's bound is sorted in memory, without queues.
+IN_MEMORY = 4
 _MANY = np.int32(1 << 30)
 Block = tuple[np.ndarray, np.ndarray]
 
@@ -330,7 +332,7 @@ class Sorter:
         order, shared = self._array(number, np.int64), self._array(number, np.int32)
         if number:
             names, count = self._named()
-            if number <= self.memory:
+            if number <= IN_MEMORY * self.memory:
                 found = _doubled(np.asarray(names), self.cap // 2 + 2)
                 order[:], shared[:] = found
             else:
@@ -468,7 +470,7 @@ def _doubled(names: np.ndarray, cap: int) -> Block:
     """Order and common prefixes of the suffixes of a string in memory, by doubling; prefixes up to ``cap``."""
     n = len(names)
     rank = np.unique(names, return_inverse=True)[1].astype(np.int64).ravel() + 1
-    ranks, size = [rank], 1
+    ranks, size = [rank.astype(np.int32)], 1
     order = np.argsort(rank, kind="stable")
     while rank.max(initial=0) < n and size < cap:
         second = np.zeros(n, np.int64)
@@ -478,7 +480,7 @@ def _doubled(names: np.ndarray, cap: int) -> Block:
         ordered = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]]))
-        ranks.append(rank)
+        ranks.append(rank.astype(np.int32))
         size *= 2
     before = np.concatenate([order[:1], order[:-1]])
     shared = np.zeros(n, np.int64)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodewright.llm import fingerprints, licenses, packing, prefix_tree, toxicity, vantage, warc
+from lodewright.llm import fingerprints, licenses, packing, prefix_tree, repeats, toxicity, vantage, warc
 from lodewright.llm.tables import documents, table
 
 
@@ -21,6 +21,10 @@ def op1_warc(spark, folder):
     )
 
 
+def op2_suffix_array_dedup(spark, folder):
+    return repeats.deduplicated(table(spark, folder, "documents"))
+
+
 def op3_ngram_jaccard_join(spark, folder):
     return prefix_tree.join(table(spark, folder, "documents"))
 
