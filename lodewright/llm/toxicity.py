@@ -257,16 +257,25 @@ def _with_marks(units: list[str]) -> list[str]:
 _BAGS = pa.schema([("toxic", pa.int32()), ("units", pa.list_(pa.string()))])
 
 
-def train(frame: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of the rows (doc_id, text, toxic). ``sample`` bounds the texts it learns from, a fifth of them
-    toxic at least if there are as many. Without toxic or without clean texts every score is 0."""
-    near = frame.select("doc_id", "text", "toxic", F.xxhash64("doc_id").alias("order"))
-    toxic = near.where("toxic = 1").orderBy("order", "doc_id").limit(sample // 4)
-    clean = near.where("toxic = 0").orderBy("order", "doc_id").limit(sample - sample // 4)
-    ids = toxic.select("doc_id").unionAll(clean.select("doc_id")).distinct()
-    tasks = frame.sparkSession.sparkContext.defaultParallelism
-    chosen = near.join(ids, "doc_id").select("text", "toxic").repartition(tasks)
-    chosen = written(chosen, "labelled")
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """A model of the rows (doc_id, text) that (doc_id, toxic) labels and that aren't held out.
+
+    ``sample`` bounds the documents it learns from, those first by a hash of their id, a quarter of them toxic if
+    there are as many. Of several labels of a document the highest counts, of several texts the smallest;
+    null ids and null labels take no part. Without toxic or without clean texts every score is the same.
+    """
+    marks = labels.where("doc_id is not null and toxic in (0, 1)")
+    marks = marks.where(~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id")
+    marks = marks.agg(F.max("toxic").cast("int").alias("toxic"))
+    ordered = marks.orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = ordered.where("toxic = 1").limit(sample // 4)
+    picked = picked.unionAll(ordered.where("toxic = 0").limit(sample - sample // 4))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # `sample` ids and labels at most, so they can go to every task.
+    chosen = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id")
+    chosen = chosen.agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    tasks = docs.sparkSession.sparkContext.defaultParallelism
+    chosen = written(chosen.select("text", "toxic").repartition(tasks), "labelled")
 
     def gram_counts(batches):
         found: tuple[Counter, Counter] = (Counter(), Counter())
@@ -453,15 +462,23 @@ def _refit(
 
 
 def _calibrate(model: Model, worst: np.ndarray, label: np.ndarray) -> None:
-    """Logistic slope and level by Newton steps, with targets that keep away from 0 and 1."""
+    """Logistic slope and level by Newton steps that never lose, with targets that keep away from 0 and 1."""
     high, low = (label == 1).sum(), (label == 0).sum()
     target = np.where(label == 1, (high + 1) / (high + 2), 1 / (low + 2))
     x = np.stack([worst, np.ones(len(worst))], axis=1)
-    beta = np.array([1.0, 0.0])
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((np.logaddexp(0, z) - target * z).sum() + 5e-4 * beta @ beta)
+
+    beta = np.array([0.0, np.log((high + 1) / (low + 1))])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + 1e-3 * np.eye(2), x.T @ (target - p) - 1e-3 * beta)
-        beta = beta + np.clip(step, -2, 2)
+        slope = x.T @ (target - p) - 1e-3 * beta
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), slope)
+        while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        beta = beta + step
         if np.abs(step).max() < 1e-6:
             break
     model.slope, model.level = float(max(beta[0], 1e-3)), float(beta[1])
@@ -489,18 +506,9 @@ def held_out(key, parts: int, part: int):
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the rows to learn from: those labelled that aren't held out. Of several
-    labels of a document the highest counts; null ids and null labels take no part."""
-    marks = labels.where("doc_id is not null and toxic in (0, 1)")
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.where(~held_out(F.col("doc_id"), 4, 2)).join(marks, "doc_id")
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, columns: list[str], sample: int = SAMPLE) -> DataFrame:
     """Trains on the labelled rows that aren't held out and scores every row of ``docs``.
 
     Repeated rows score alike; an empty table gives no rows. Other columns than the text are no inputs.
     """
-    return score(docs, train(labelled(docs, labels), sample), columns)
+    return score(docs, train(docs, labels, sample), columns)
