@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodewright.llm import fingerprints, licenses, packing, prefix_tree, repeats, toxicity, vantage, warc
+from lodewright.llm import fingerprints, licenses, packing, pitman_yor, prefix_tree, repeats, toxicity, vantage, warc
 from lodewright.llm.tables import documents, table
 
 
@@ -29,6 +29,10 @@ def op3_ngram_jaccard_join(spark, folder):
     return prefix_tree.join(table(spark, folder, "documents"))
 
 
+def op5_lm_scoring(spark, folder):
+    return pitman_yor.score(table(spark, folder, "documents"))
+
+
 def op6_toxicity(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     found = toxicity.toxicity(docs, labels, ["doc_id"])
