@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodewright.llm import fingerprints, licenses, packing, pitman_yor, prefix_tree, repeats, toxicity, vantage, warc
+from lodewright.llm import fingerprints, licenses, packing, pitman_yor, prefix_tree, repeats, sentence_pieces, toxicity, vantage, warc
 from lodewright.llm.tables import documents, table
 
 
@@ -29,6 +29,15 @@ def op3_ngram_jaccard_join(spark, folder):
     return prefix_tree.join(table(spark, folder, "documents"))
 
 
+def op4_sentence_pieces(spark, folder):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(table(spark, folder, "documents"), path)
+    decoded = sentence_pieces.decode(encoded, path)
+    return decoded.select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op5_lm_scoring(spark, folder):
     return pitman_yor.score(table(spark, folder, "documents"))
 
