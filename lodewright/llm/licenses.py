@@ -2,12 +2,17 @@
 
 A part is a sentence, a line, or the text as a whole. Texts and templates are normalised alike: ASCII letters in
 lower case, all but letters and digits as one blank. Two sets of n and m bigrams can reach the least coefficient
-d only if n is between d/(2-d) and (2-d)/d times m, so the templates of other sizes are passed over. All of it
-is Spark expressions on the row.
+d only if n is between d/(2-d) and (2-d)/d times m, so the templates of other sizes are passed over. A part
+that reaches d has d/(2-d) of a template's bigrams at least, so texts that hold none of the others and one more are
+passed over before they are cut into parts. All of it is Spark expressions on the row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,7 +100,18 @@ def scan(
         )
     )
     # By the number of words, which is above that of distinct bigrams: parts below the least size have too few.
-    pieces = rows.withColumn("parts", parts).withColumn(
+    # Of these bigrams each part that matters has one at least.
+    telling = sorted(
+        {
+            pair
+            for pairs in known.values()
+            for pair in sorted(pairs, key=lambda x: (-len(x), x))[: len(pairs) - ceil(len(pairs) * least / (2 - least) - 1e-9) + 1]
+        }
+    )
+    rows = rows.withColumn("flat", normalised(whole))
+    telltale = reduce(or_, (F.contains("flat", F.lit(pair)) for pair in telling))
+    none = F.array().cast("array<string>")
+    pieces = rows.withColumn("parts", F.when(telltale, parts).otherwise(none)).withColumn(
         "parts",
         F.filter(
             F.col("parts"),
