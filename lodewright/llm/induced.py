@@ -23,7 +23,7 @@ import numpy as np
 
 FAN = 512
 # A string of names this many times the queue's bound is sorted in memory, without queues.
-IN_MEMORY = 4
+IN_MEMORY = 1
 _MANY = np.int32(1 << 30)
 Block = tuple[np.ndarray, np.ndarray]
 

@@ -28,9 +28,9 @@ GRAM = 128
 # Occurrences of a hash that one shard takes; more are dealt to several.
 SHARE = 64
 # Suffixes that a shard's sorting holds in memory.
-MEMORY = 1 << 20
+MEMORY = 1 << 22
 # Bytes of segments in a shard, on average.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 3 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDER = pow(int(_BASE), -1, 1 << 64)
