@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodewright.llm.tables import discard, documents, written
+from lodewright.llm.tables import discard, documents, slices, written
 
 WORDS = 3
 # A link: shared n-grams are at least PERCENT of 100 of those of either.
@@ -39,6 +39,7 @@ BLOCK = 256
 PLACE_BITS = 12
 LAST_PLACE = (1 << PLACE_BITS) - 1
 FILTER_BITS = 1 << 24
+WIDE_BITS = 1 << 13
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,7 +94,7 @@ def _signed(hashes: np.ndarray) -> pa.Array:
 
 def _first_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches, 0):
             sets = shingle_sets(batch.column(0), words)
             firsts = [s[: _prefix_size(len(s), percent)] for s in sets if len(s)]
             if firsts:
@@ -118,7 +119,7 @@ def _described(docs: DataFrame, frequent: np.ndarray, words: int, percent: int)
     """Each document with its set's size, digest, first n-grams in the common order, and parity bitmap."""
 
     def describe(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             sets = shingle_sets(batch.column(2), words)
             sizes = np.array([len(s) for s in sets])
             firsts = [ordered(s, frequent)[: _prefix_size(len(s), percent)] if len(s) else s for s in sets]
@@ -416,11 +417,43 @@ def _linked(
     ends = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
     wanted = written(ends.join(classes.select("cid", "text_key"), "cid"), "wanted")
     sets = written(_sets(docs, wanted, words), "grams-of")
-    links = written(_decided(pairs, sets, frequent, percent), "links")
-    discard(pairs, wanted, sets)
+    near = written(_near(pairs, sets, percent), "near-pairs")
+    links = written(_decided(near, sets, frequent, percent), "links")
+    discard(pairs, wanted, sets, near)
     return links
 
 
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that parity bitmaps of WIDE_BITS bits don't rule out; sets themselves move for these only."""
+
+    def describe(batches):
+        for batch in batches:
+            sizes, packed = [], []
+            for grams in batch.column(1):
+                grams = np.frombuffer(grams.as_buffer(), np.uint64)
+                parity = np.bincount((grams % np.uint64(WIDE_BITS)).astype(np.int64), minlength=WIDE_BITS) & 1
+                sizes.append(len(grams))
+                packed.append(np.packbits(parity.astype(np.uint8)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], ["cid", "n", "bits"]
+            )
+
+    def passed(batches):
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, WIDE_BITS // 8)
+                for i in (4, 5)
+            )
+            apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            yield batch.filter(pa.array(apart * (100 + percent) <= both * (100 - percent))).select(["a", "b"])
+
+    wide = sets.mapInArrow(describe, "cid long, n long, bits binary")
+    one, two = (wide.toDF(name, f"n_{name}", f"bits_{name}") for name in ("a", "b"))
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return joined.mapInArrow(passed, "a long, b long")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(cid, grams): the sorted hashes of the wanted classes, each from one of its texts.
 
@@ -453,7 +486,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     texts = near.join(wanted, "text_key").groupBy("cid").agg(F.first("text").alias("text"))
 
     def collect(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             sets = shingle_sets(batch.column(1), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "grams"]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodewright.session import shared_dir
 
+# Bytes of texts that a task works on at once.
+SLICE_BYTES = 4 << 20
 # Fixed value: white space that parts words, the same for every operator.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,6 +51,18 @@ def discard(*frames: DataFrame) -> None:
         source.delete_dir(path)
 
 
+def slices(batches, column: int, size: int = SLICE_BYTES):
+    """The batches in parts whose texts, in that column, have about so many bytes; a longer text is alone."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.binary_length(batch.column(column))).to_numpy()
+        first = 0
+        while first < batch.num_rows:
+            done = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def lower_ascii(text):
     """A-Z in lower case; other letters stay."""
     return F.translate(
