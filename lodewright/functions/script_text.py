@@ -30,12 +30,6 @@ _LINE_COMMENT = r"--[^\r\n]*+"
 _OPEN_TO_THE_END = r"['\"`][\s\S]*+|/\*[\s\S]*+"
 _LINE_START = r"(?<![^\r\n])[ \t]*+"
 _LINE_END = r"[ \t]*+(?![^\r\n])"
-# Names the text's last character ``blank``; callers end the text with one. It stands in for a
-# comment that alone parts two words.
-_LAST_BLANK = r"(?=[\s\S]*+(?<=(?<blank> )))"
-
-
-
 
 def _block_comment(depth: int) -> str:
     inner = f"|{_block_comment(depth - 1)}" if depth > 1 else ""
@@ -63,7 +57,12 @@ _WHOLE_LINE_COMMENTS = (
 )
 _COMMENTS = (
     rf"(?<keep>(?:[^-'\"`/]++|{QUOTED}|{_SINGLE}|(?=/\*\+){_BLOCK})++)"
-    rf"|{_LINE_COMMENT}|(?<=\S){_BLOCK}(?=\S){_LAST_BLANK}|{_BLOCK}|{_OPEN}"
+    rf"|{_LINE_COMMENT}|{_BLOCK}|{_OPEN}"
+)
+# Up to a block comment that alone parts two words, or else to the end.
+_TOUCHING = (
+    rf"(?:[^-'\"`/]++|{QUOTED}|{_LINE_COMMENT}|{_SINGLE}|(?=/\*\+){_BLOCK}|(?<!\S){_BLOCK}|{_BLOCK}(?!\S))*+"
+    rf"(?:{_BLOCK}|[\s\S]*+)"
 )
 # Up to a comment that nests too deep for the native patterns, or that never ends.
 _UNREADABLE = rf"\A(?:[^-'\"`/]++|{QUOTED}|{_LINE_COMMENT}|{_SINGLE}|{_BLOCK})*+/\*"
@@ -120,8 +119,8 @@ def _unmarked(text: Column) -> Column:
 
 def _code(stmt: Column) -> Column:
     """A trimmed statement without its comments."""
-    ended = F.concat(stmt, F.lit(" "))
-    code = strip(F.regexp_replace(ended, _COMMENTS, "${keep}${open}${blank}"))
+    parted = F.regexp_replace(stmt, _TOUCHING, "$0 ")
+    code = strip(F.regexp_replace(parted, _COMMENTS, "${keep}${open}"))
     return F.when(stmt.contains("--") | stmt.contains("/*"), code).otherwise(stmt)
 
 
@@ -224,15 +223,14 @@ def sets_variable(lead: Column) -> Column:
 
 
 def statement_kind(code: Column, lead: Column) -> Column:
-    """``blank``, ``set_variable``, ``set``, ``add_jar``, ``insert`` or ``other``.
+    """``set_variable``, ``set``, ``add_jar``, ``insert`` or ``other``.
 
     The leading words decide, also for an ``INSERT`` after ``WITH`` or ``FROM``; words inside
     literals do not count.
     """
     inserts = F.regexp_replace(code, QUOTED, "''").rlike(_INSERT)
     return (
-        F.when(code == F.lit(""), F.lit("blank"))
-        .when(sets_variable(lead), F.lit("set_variable"))
+        F.when(sets_variable(lead), F.lit("set_variable"))
         .when(lead == F.lit("set"), F.lit("set"))
         .when(lead.rlike(r"^add\s+jar$"), F.lit("add_jar"))
         .when(lead == F.lit("insert"), F.lit("insert"))
@@ -245,7 +243,8 @@ def statement_key_and_value(code: Column, kind: Column) -> tuple[Column, Column]
     """Key and value of a variable or setting; for ``add_jar`` the path as value."""
 
     def unquoted(pattern: str, group: int) -> Column:
-        return strip(F.regexp_replace(F.regexp_extract(code, pattern, group), "['\"]", ""))
+        text = strip(F.regexp_extract(code, pattern, group))
+        return strip(F.regexp_replace(text, r"(?s)^(['\"])(.*)\1$", "$2"))
 
     one_line = collapse_spaces(code)
     is_variable, is_jar = kind == F.lit("set_variable"), kind == F.lit("add_jar")
@@ -261,14 +260,21 @@ def statement_key_and_value(code: Column, kind: Column) -> tuple[Column, Column]
     return key, value
 
 
+_WRAPPER = r"\bexecute\s++statement\s++set\s++begin\b"
+_GAP = rf"(?:\s++|{_LINE_COMMENT}|{_BLOCK})*+"
+_CODE = rf"{QUOTED}|{_LINE_COMMENT}|{_BLOCK}"
 _STATEMENT_SET = (
-    r"(?is)\bexecute\s+statement\s+set\s+begin\b(.*?;(?:\s++|--[^\r\n]*+)*+)end\s*+;"
+    rf"(?i)(?<head>(?:[^-'\"`/e]++|{_CODE}|(?!{_WRAPPER})[-/e])*+)"
+    rf"(?:{_WRAPPER}(?<body>(?:[^-'\"`/;]++|{_CODE}|[-/]|;(?!{_GAP}end{_GAP};))*+;{_GAP})end{_GAP};"
+    r"|(?<rest>[\s\S]*+))"
 )
 
 
 def without_statement_set(text: Column) -> Column:
-    """Remove ``EXECUTE STATEMENT SET BEGIN`` and the ``END;`` that closes it.
+    """Remove ``EXECUTE STATEMENT SET BEGIN`` and the ``END;`` that closes it from a marked script.
 
-    The closing ``END`` follows a semicolon, so the one of a ``CASE ... END;`` stays.
+    The closing ``END`` follows a semicolon, so the one of a ``CASE ... END;`` stays. Words inside
+    literals and comments are neither; comments between the last statement and ``END`` stay.
     """
-    return F.regexp_replace(text, _STATEMENT_SET, "$1")
+    parts = F.regexp_replace(text, _STATEMENT_SET, "${head}${body}${rest}")
+    return _unmarked(F.when(text.rlike(rf"(?i){_WRAPPER}"), parts).otherwise(text))

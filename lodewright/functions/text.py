@@ -48,3 +48,9 @@ def prefix(text: Column | str, length: int) -> Column:
 def lines(text: Column) -> Column:
     """Split at every line boundary that Python's ``splitlines`` knows."""
     return F.split(text, r"\r\n|[\n-\r\x1c-\x1e\x85\u2028\u2029]", -1)
+
+
+def padded(number: Column | str, width: int) -> Column:
+    """A number's digits with zeros in front up to ``width``; longer ones are never cut."""
+    digits = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))

@@ -36,7 +36,8 @@ def workday_calendar(
 
     ``holidays(date, name)`` and ``makeup_days(date)`` hold each date once; ``names(name, shown)``
     maps holiday names to the shown ones, and a holiday without a shown name gets a NULL
-    ``date_type``. Without them the public holidays of 2023 and 2024 apply.
+    ``date_type``. Without them the public holidays of 2023 and 2024 apply. A year counts as covered if
+    ``holidays`` has a row in it; days of other years have a NULL ``date_type`` and ``is_workday``.
     """
     spark = span.sparkSession
     holidays = china.holidays(spark) if holidays is None else holidays
@@ -44,17 +45,21 @@ def workday_calendar(
     names = china.holiday_names(spark) if names is None else names
 
     day = F.col("date")
-    days = span.select(F.explode(F.sequence("start", "end")).alias("date"))
     off = holidays.join(names, "name", "left").select(
         "date", F.lit(True).alias("is_off"), "shown"
     )
     worked = makeup_days.select("date", F.lit(True).alias("is_makeup"))
+    # One row, joined to the one row of the span before its days are made.
+    covered = holidays.agg(F.collect_set(F.year("date")).alias("covered"))
+    known = F.array_contains("covered", F.year(day))
+    days = span.join(covered).select(F.explode(F.sequence("start", "end")).alias("date"), "covered")
     weekday = iso_weekday(day)
     is_makeup = F.col("is_makeup").isNotNull()
     is_off = F.col("is_off").isNotNull()
     is_workday = is_makeup | ((weekday < F.lit(6)) & ~is_off)
     date_type = (
-        F.when(is_workday & (weekday >= F.lit(6)), F.lit(MAKEUP_WORKDAY))
+        F.when(~known, F.lit(None))
+        .when(is_workday & (weekday >= F.lit(6)), F.lit(MAKEUP_WORKDAY))
         .when(is_workday, F.lit(WORKDAY))
         .when(is_off, F.col("shown"))
         .otherwise(F.lit(WEEKEND))
@@ -70,7 +75,7 @@ def workday_calendar(
             week_of_year(day).alias("week"),
             weekday.alias("weekday"),
             date_type.alias("date_type"),
-            is_workday.cast("int").alias("is_workday"),
+            F.when(known, is_workday.cast("int")).alias("is_workday"),
         )
     )
 

@@ -28,19 +28,17 @@ def apply_changes(
     keys: list[str],
     order_by: list[str],
     op: str = "op",
-    max_changes: int | None = None,
 ) -> DataFrame:
     """``target`` after ``changes``, in the target's columns.
 
     ``target`` holds each key once. The last change of a key replaces the target's row, or removes
     it where ``op`` is ``'D'``; keys new to the target are added. Rows without a change pass an
-    anti join only, so a change set that Spark can broadcast leaves the target unshuffled;
-    ``max_changes`` states a known bound on its rows.
+    anti join only, so a change set that Spark can broadcast leaves the target unshuffled.
     """
     latest = latest_changes(changes, keys, order_by)
     if len(keys) == 1:
         key = keys[0]
-        kept = lookup_join(target, changes.select(key).distinct(), key, "left_anti", max_changes)
+        kept = lookup_join(target, changes.select(key).distinct(), key, "left_anti")
     else:
         kept = target.join(changes.select(*keys).distinct(), keys, "left_anti")
     written = latest.where(F.col(op) != F.lit(DELETE)).select(*target.columns)

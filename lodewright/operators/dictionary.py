@@ -24,6 +24,12 @@ _HEAD = rf"^(?:[^('\"`]++|{QUOTED})*+"
 _NAME = rf"(?:{BACK_QUOTED}|[^\s`]++)++"
 _TABLE_NAME = rf"(?i)^create table (?:if not exists )?({_NAME})"
 _COMMENT = rf"(?i)\bcomment ?=? ?({SINGLE_QUOTED}(?:{SINGLE_QUOTED})*+|{DOUBLE_QUOTED})"
+# What surrounds a column list, unit by unit: a bracket or a quoted text is passed over whole.
+_INNER = rf"[^()'\"`]++|{QUOTED}"
+_BRACKET = rf"\((?:{_INNER}|\((?:{_INNER}|\((?:{_INNER})*+\))*+\))*+\)"
+_AROUND = rf"(?i)\A(?:[^('\"`]|{QUOTED}|{_BRACKET})*?"
+_TABLE_COMMENT = _AROUND + _COMMENT.removeprefix("(?i)")
+_PARTITIONED = rf"{_AROUND}\bpartitioned by ?({_BRACKET})"
 
 _TYPE_WORD = r"(?i:array|map|struct|row|multiset) ?"
 _NESTED_TYPE = rf"\b{_TYPE_WORD}\z"
@@ -81,9 +87,9 @@ def _columns_and_rest(column_list: Column) -> Column:
     return F.aggregate(tokens, state(one, zero, nothing, no_fields).cast(_STATE), read)
 
 
-def _unquoted_comment(text: Column, fold_case: bool) -> Column:
+def _unquoted_comment(text: Column, fold_case: bool, pattern: str = _COMMENT) -> Column:
     """The text of a ``COMMENT '...'`` clause, or the empty string."""
-    literal = F.regexp_extract(text, _COMMENT, 1)
+    literal = F.regexp_extract(text, pattern, 1)
     inner = F.substring(literal, F.lit(2), F.greatest(F.length(literal) - F.lit(2), F.lit(0)))
     comment = strip(F.replace(inner, F.lit("''"), F.lit("'")))
     return F.lower(comment) if fold_case else comment
@@ -95,7 +101,8 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     Adds ``pos`` (statement), ``field_pos`` and the columns named in ``HEADINGS`` to the script's
     other columns. Names and types are in lower case; ``fold_case`` also lowers comments. A
     statement without a column list, such as ``CREATE TABLE ... AS SELECT``, has no rows. A key
-    clause inside the list comes out as a column named by its first word.
+    clause inside the list comes out as a column named by its first word. Columns that
+    ``PARTITIONED BY`` declares with a type follow those of the list.
     """
     others = [name for name in scripts.columns if name != text]
     code = F.col("code")
@@ -117,13 +124,20 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     head = F.col("head")
     after_name = strip(F.regexp_replace(F.regexp_replace(head, _TABLE_NAME, ""), _COMMENT, ""))
     options = F.concat_ws(" ", head, F.col("body.now"))
+    inner = F.regexp_extract("body.now", _PARTITIONED, 1)
+    partitions = _columns_and_rest(F.substring(inner, F.lit(2), F.length(inner)))["fields"]
+    typed = F.filter(
+        F.transform(partitions, strip), lambda field: field.rlike(rf"^{_NAME} (?!comment\b)[^ ]")
+    )
     fields = F.filter(F.transform("body.fields", strip), lambda field: field != F.lit(""))
-    closed = tables.where((F.col("body.depth") == F.lit(0)) & (after_name == F.lit(""))).select(
+    # Not as a filter: Spark would move it below, and read every statement twice.
+    complete = (F.col("body.depth") == F.lit(0)) & (after_name == F.lit(""))
+    closed = tables.select(
         *others,
         F.col("pos").alias("stmt_pos"),
         F.lower(F.regexp_extract(head, _TABLE_NAME, 1)).alias("table_name"),
-        _unquoted_comment(options, fold_case).alias("table_comment"),
-        fields.alias("fields"),
+        _unquoted_comment(options, fold_case, _TABLE_COMMENT).alias("table_comment"),
+        F.when(complete, F.concat(fields, typed)).alias("fields"),
     )
     columns = each(
         closed, [*others, "stmt_pos", "table_name", "table_comment"], F.col("fields"), "field"

@@ -10,14 +10,21 @@ from lodewright.operators.joins import lookup_join
 
 
 def flatten_hierarchy(
-    codes: DataFrame, province_digits: int = 2, city_digits: int = 4, code_digits: int = 6
+    codes: DataFrame,
+    province_digits: int = 2,
+    city_digits: int = 4,
+    code_digits: int = 6,
+    provinces: DataFrame | None = None,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
     """``codes(id, name)`` to one row per leaf with its province and city, ordered by ``id``.
 
     With the default lengths a code ending in ``0000`` is a province, another one ending in
     ``00`` a city, and any other a leaf. A leaf without a city row gets its four-digit prefix
     followed by ``00`` as city code, and its province's name as city name. Ids stay strings, so
-    leading zeros and suffix tests hold.
+    leading zeros and suffix tests hold; the city code is an integer below ten digits and a long up
+    to 18. Where ``provinces`` and ``cities`` are at hand as frames of their own, ``codes`` holds
+    only leaves and is read once; else it is read for each of the three.
     """
     below_province = "0" * (code_digits - province_digits)
     below_city = "0" * (code_digits - city_digits)
@@ -25,18 +32,18 @@ def flatten_hierarchy(
     is_leaf = ~F.col("id").endswith(below_city)
     is_city = F.col("id").endswith(below_city) & ~is_province
 
-    leaves = codes.where(is_leaf).select(
+    leaves = (codes.where(is_leaf) if provinces is None else codes).select(
         "id",
         "name",
         prefix("id", province_digits).alias("province_key"),
         prefix("id", city_digits).alias("city_key"),
     )
-    provinces = codes.where(is_province).select(
+    provinces = (codes.where(is_province) if provinces is None else provinces).select(
         prefix("id", province_digits).alias("province_key"),
         F.col("id").alias("province_code"),
         F.col("name").alias("province_name"),
     )
-    cities = codes.where(is_city).select(
+    cities = (codes.where(is_city) if cities is None else cities).select(
         prefix("id", city_digits).alias("city_key"),
         F.col("id").alias("city_id"),
         F.col("name").alias("own_city_name"),

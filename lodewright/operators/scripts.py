@@ -74,7 +74,7 @@ def strip_comments(scripts: DataFrame, text: str = "text") -> DataFrame:
 
 def unwrap_statement_set(scripts: DataFrame, text: str = "text") -> DataFrame:
     """Remove the wrapper of a statement set, leaving its statements."""
-    return scripts.withColumn(text, script_text.without_statement_set(F.col(text)))
+    return marked(scripts, text).withColumn(text, script_text.without_statement_set(F.col(text)))
 
 
 def classify_statements(scripts: DataFrame, text: str = "text") -> DataFrame:

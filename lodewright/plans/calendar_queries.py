@@ -13,6 +13,7 @@ from lodewright.operators.calendar import (
     days_in,
     workday_calendar,
 )
+from lodewright.functions.text import padded
 from lodewright.operators.hierarchy import flatten_hierarchy
 from lodewright.session import shared_dir
 from lodewright.sources.files import stream_table, table
@@ -24,7 +25,7 @@ FIRST, LAST = date(2023, 1, 1), date(2024, 12, 31)
 
 
 def calendar_span(spark: SparkSession, folder: str) -> DataFrame:
-    """The calendar from the first order to the last event."""
+    """The calendar from the first order to the last event; years without holiday rows have no kinds of days."""
 
     def ends(rows: DataFrame, when: str) -> DataFrame:
         day = F.to_date(when)
@@ -45,7 +46,7 @@ def _events_per_day_type(classified: DataFrame) -> DataFrame:
 
 
 def events_by_workday(spark: SparkSession, folder: str) -> DataFrame:
-    """Events and their value per type of day."""
+    """Events and their value per type of day; those outside the calendar's two years have none."""
     calendar = workday_calendar(date_span(spark, FIRST, LAST))
     events = table(spark, folder, "events")
     return _events_per_day_type(
@@ -77,11 +78,8 @@ def hierarchy_flat(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
     customer = table(spark, folder, "customer")
 
-    def digits(name: str, length: int) -> F.Column:
-        return F.lpad(F.col(name).cast("string"), length, "0")
-
-    top = F.concat(F.lit("1"), digits("r_regionkey", 1))
-    middle = F.concat(F.lit("1"), digits("n_regionkey", 1), digits("n_nationkey", 2))
+    top = F.concat(F.lit("1"), padded("r_regionkey", 1))
+    middle = F.concat(F.lit("1"), padded("n_regionkey", 1), padded("n_nationkey", 2))
     provinces = region.select(
         F.concat(top, F.lit("0" * 12)).alias("id"), F.col("r_name").alias("name")
     )
@@ -91,12 +89,11 @@ def hierarchy_flat(spark: SparkSession, folder: str) -> DataFrame:
     places = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     leaves = places.select(
         F.concat(
-            middle, F.lpad((F.col("c_custkey") + F.lit(1)).cast("string"), 10, "0")
+            middle, padded(F.col("c_custkey") + F.lit(1), 10)
         ).alias("id"),
         F.col("c_name").alias("name"),
     )
-    codes = provinces.unionByName(cities).unionByName(leaves)
-    return flatten_hierarchy(codes, 2, 4, 14)
+    return flatten_hierarchy(leaves, 2, 4, 14, provinces, cities)
 
 
 QUERIES = {
@@ -114,12 +111,14 @@ _DAY_RULES = f"""
     holidays(name, first_day, last_day) AS (VALUES {_HOLIDAY_ROWS}),
     makeup(day) AS (VALUES {_MAKEUP_ROWS})"""
 _DATE_TYPE = """
-    CASE WHEN m.day IS NOT NULL AND isodow(d.day) > 5 THEN '法定上班'
+    CASE WHEN year(d.day) NOT IN (2023, 2024) THEN NULL
+         WHEN m.day IS NOT NULL AND isodow(d.day) > 5 THEN '法定上班'
          WHEN m.day IS NOT NULL THEN '工作日'
          WHEN h.name IS NOT NULL THEN h.name
          WHEN isodow(d.day) > 5 THEN '周末'
          ELSE '工作日' END AS date_type,
-    CAST(m.day IS NOT NULL OR (h.name IS NULL AND isodow(d.day) < 6) AS INTEGER) AS is_workday"""
+    CASE WHEN year(d.day) IN (2023, 2024)
+         THEN CAST(m.day IS NOT NULL OR (h.name IS NULL AND isodow(d.day) < 6) AS INTEGER) END AS is_workday"""
 _DAY_JOINS = """
     LEFT JOIN holidays h ON d.day BETWEEN h.first_day AND h.last_day
     LEFT JOIN makeup m ON d.day = m.day"""
@@ -164,7 +163,7 @@ WITH codes AS (
     FROM nation WHERE n_regionkey > 0
     UNION ALL
     SELECT '1' || n_regionkey || lpad(CAST(n_nationkey AS VARCHAR), 2, '0')
-               || lpad(CAST(c_custkey + 1 AS VARCHAR), 10, '0'),
+               || lpad(CAST(c_custkey + 1 AS VARCHAR), greatest(length(CAST(c_custkey + 1 AS VARCHAR)), 10), '0'),
            c_name
     FROM customer JOIN nation ON c_nationkey = n_nationkey
 )

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from lodewright.operators import scripts
 from lodewright.operators.dictionary import ddl_dictionary
 from lodewright.session import shared_dir
-from lodewright.sources.files import read_scripts, spread, table
+from lodewright.sources.files import read_scripts, table
 
 
 
 def _rows(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    return spread(table(spark, folder, name).select(*columns))
+    return table(spark, folder, name).select(*columns)
 
 
 _FIELDS = ["table_name", "table_comment", "field_name", "field_comment", "field_type"]

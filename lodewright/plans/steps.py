@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Step = str | Callable[[SparkSession], DataFrame]
 
+_SUBSTITUTE = "spark.sql.variable.substitute"
 _PARAMETER = re.compile(r"(?<![:\w]):[A-Za-z_]\w*")
 
 
@@ -52,7 +53,12 @@ def _run(
         if callable(step):
             return step(spark)
         uses_args = args and _PARAMETER.search(step)
-        return spark.sql(step, args=dict(args)) if uses_args else spark.sql(step)
+        before = spark.conf.get(_SUBSTITUTE)
+        spark.conf.set(_SUBSTITUTE, "false")  # else an unknown ${x} would vanish
+        try:
+            return spark.sql(step, args=dict(args)) if uses_args else spark.sql(step)
+        finally:
+            spark.conf.set(_SUBSTITUTE, before)
     except Exception as error:
         text = step if isinstance(step, str) else getattr(step, "__name__", repr(step))
         raise StepError(f"{label} failed: {text}") from error

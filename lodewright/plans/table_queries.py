@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lodewright.functions.register import register_functions
-from lodewright.functions.text import xtrim
+from lodewright.functions.text import padded, xtrim
 from lodewright.operators.changes import apply_changes
 from lodewright.operators.joins import lookup_join, value_per_key
 from lodewright.plans.steps import run_steps
@@ -17,7 +17,7 @@ from lodewright.session import shared_dir
 from lodewright.sinks.fanout import Sink, write_sinks
 from lodewright.sinks.files import TEXT_OPTIONS, compact, write_csv
 from lodewright.sinks.tables import create_table_as, insert_select, publish
-from lodewright.sources.files import read_csv, spread, table
+from lodewright.sources.files import read_csv, table
 from lodewright.sources.rows import inline_rows
 
 
@@ -32,7 +32,7 @@ def _measured(rows: DataFrame, key: str, trimmed: F.Column) -> DataFrame:
 def xtrim_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents without white space."""
     return _measured(
-        spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id", xtrim("text")
+        table(spark, folder, "documents").select("doc_id", "text"), "doc_id", xtrim("text")
     )
 
 
@@ -40,7 +40,7 @@ def xtrim_function_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Whole pages without white space, through the registered SQL function."""
     register_functions(spark)
     return _measured(
-        spread(table(spark, folder, "pages").select("page_id", "html")),
+        table(spark, folder, "pages").select("page_id", "html"),
         "page_id",
         F.expr("xtrim(html)"),
     )
@@ -98,7 +98,7 @@ def literals_and_comments(spark: SparkSession, folder: str) -> DataFrame:
     """SQL text with comment marks in literals, nested comments and a partition hint."""
     statement = """
         -- marks inside literals; are text
-        SELECT /*+ COALESCE(1) */ c_custkey, ';' AS semicolon, '-- x' AS dashes, "/* y" AS opened
+        SELECT /*+ REBALANCE */ c_custkey, ';' AS semicolon, '-- x' AS dashes, "/* y" AS opened
              , if(c_acctbal < 0, 'owes', 'has') AS state /* nested /* comment ; */ it's */
              , 1 AS b
         FROM {customer} """
@@ -200,7 +200,7 @@ def customers_through_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Customers written as CSV and read back with a schema; codes keep their zeros."""
     path = shared_dir(spark, "csv")
     customers = table(spark, folder, "customer").select(
-        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"),
+        padded("c_custkey", 8).alias("code"),
         "c_name",
         "c_nationkey",
         "c_acctbal",
@@ -237,7 +237,8 @@ def segment_revenue_steps(spark: SparkSession, folder: str) -> DataFrame:
         (
             "summed",
             """SELECT segment, year, count(1) AS orders, CAST(sum(price) AS DOUBLE) AS revenue
-               FROM priced GROUP BY segment, year""",
+               FROM priced WHERE '${x}' <> 'unknown' AND length('p${y}q') = 6
+               GROUP BY segment, year""",
         ),
         ("blank", " "),
     ]
@@ -352,7 +353,7 @@ FROM events""",
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
 FROM events""",
     "customers_through_csv": """
-SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, c_name, c_nationkey, c_acctbal,
+SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 8), '0') AS code, c_name, c_nationkey, c_acctbal,
        c_mktsegment
 FROM customer""",
     "segment_revenue_steps": """

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -13,24 +15,31 @@ def local_session(cores: int | str = "*", app: str = "lodewright") -> SparkSessi
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", _scratch())
         .getOrCreate()
     )
 
 
+def _scratch() -> str:
+    """A folder for a session whose executors are this machine: the given one, or a new one."""
+    given = os.environ.get("LODEWRIGHT_CHECKPOINT_DIR")
+    return given or Path(tempfile.mkdtemp(prefix="lodewright-")).as_uri()
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the session's ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting: executors on other machines could
-    not read a folder of the driver's own disk.
+    The setting must name a folder that all executors share. Only a session of this machine alone may
+    go without it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lodewright-")
+        base = _scratch()
     return f"{base.rstrip('/')}/lodewright/{label}-{uuid.uuid4().hex}"

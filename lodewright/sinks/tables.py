@@ -22,9 +22,12 @@ def publish(df: DataFrame, table: str, path: str) -> None:
     """Write a new version to the new folder ``path``, then point ``table`` at it.
 
     Parquet tables know no ``MERGE``, and a table must not be overwritten while it is read: readers
-    that started before the switch keep the old files.
+    that started before the switch keep the old files. A partitioned table is refused: its partitions
+    have places of their own and would stay; switch them one by one with ``publish_partition``.
     """
     spark = df.sparkSession
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned; publish its partitions")
     file_format = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'")
     df.write.format(file_format.first()["data_type"]).mode("errorifexists").save(path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")

@@ -8,6 +8,9 @@ from pyspark.sql.types import StructType
 
 from lodewright.sinks.files import TEXT_OPTIONS
 
+# What one batch of a stream takes at most, so that a backlog is worked off in steps.
+BATCH_BOUNDS = {"maxBytesPerTrigger": 64 << 30}
+
 
 def read_scripts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(script_id, text)``, one row per file below ``path`` (any Hadoop URI or glob).
@@ -26,7 +29,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of files as they appear in the folder ``path``."""
-    return spark.readStream.text(path)
+    return spark.readStream.options(**BATCH_BOUNDS).text(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -53,14 +56,5 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     and the table may be a single file.
     """
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """The rows of a scan over at least as many partitions as there are cores.
-
-    For work that is heavy per byte: a small file is read by one task. A scan that has enough
-    partitions already, as any large table has, is returned as it is and not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    reader = spark.readStream.schema(schema).options(**BATCH_BOUNDS)
+    return reader.parquet(f"{folder}/{name}.parque[t]")

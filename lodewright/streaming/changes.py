@@ -15,15 +15,24 @@ from pyspark.sql.types import StructType
 from lodewright.operators.changes import DELETE, apply_changes, latest_changes
 from lodewright.sinks.fanout import Sink
 from lodewright.sinks.tables import publish
+from lodewright.sources.files import BATCH_BOUNDS
 from lodewright.streaming.jobs import read_sink, start_sinks
 from lodewright.streaming.settings import StreamSettings
 
 
 def stream_changes(
-    spark: SparkSession, path: str, schema: StructType | str, file_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    file_format: str = "parquet",
+    max_files: int | None = None,
 ) -> DataFrame:
-    """Change rows from files. A new checkpoint starts with the earliest file."""
-    return spark.readStream.schema(schema).format(file_format).load(path)
+    """Change rows from files. A new checkpoint starts with the earliest file.
+
+    A batch takes at most ``max_files`` files, or else files up to the bound of all streams here.
+    """
+    bounds = {"maxFilesPerTrigger": max_files} if max_files else BATCH_BOUNDS
+    return spark.readStream.schema(schema).options(**bounds).format(file_format).load(path)
 
 
 def start_changes(

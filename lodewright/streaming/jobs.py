@@ -11,16 +11,27 @@ from pyspark.sql.types import StructType
 
 from lodewright.sinks.fanout import Sink, write_sinks
 from lodewright.sinks.files import TEXT_OPTIONS
+from lodewright.sources.files import BATCH_BOUNDS
 from lodewright.streaming.settings import StreamSettings
 
 BATCH = "batch_id"
 
 
 def start_copy(
-    stream: DataFrame, path: str, settings: StreamSettings, file_format: str = "json"
+    stream: DataFrame,
+    path: str,
+    settings: StreamSettings,
+    file_format: str = "json",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Write a stream to files, each row once: the file log in ``path`` drops repeated batches."""
+    """Write a stream to files, each row once: the file log in ``path`` drops repeated batches.
+
+    ``partition_by`` columns become folders, each of which ``sinks.files.compact`` merges once it is
+    finished.
+    """
     writer = stream.writeStream.format(file_format).options(path=path, **TEXT_OPTIONS)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return settings.apply(writer).start()
 
 
@@ -28,7 +39,7 @@ def follow(
     spark: SparkSession, path: str, schema: StructType | str, file_format: str = "json"
 ) -> DataFrame:
     """The output of ``start_copy`` as the source of a next stream."""
-    reader = spark.readStream.schema(schema).options(**TEXT_OPTIONS)
+    reader = spark.readStream.schema(schema).options(**TEXT_OPTIONS, **BATCH_BOUNDS)
     return reader.format(file_format).load(path)
 
 
@@ -45,7 +56,8 @@ def start_sinks(
             replace(sink, path=f"{sink.path}/{BATCH}={number}", mode="overwrite")
             for sink in sinks
         ]
-        write_sinks(batch, numbered, reuse="persist")
+        # With one sink nothing is read twice.
+        write_sinks(batch, numbered, reuse="persist" if len(numbered) > 1 else "scan")
 
     return settings.apply(stream.writeStream.foreachBatch(write)).start()
 

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from lodewright.functions.register import register_functions
-from lodewright.functions.text import xtrim
+from lodewright.functions.text import padded, xtrim
 from lodewright.operators.calendar import classify_by_calendar, date_span, workday_calendar
 from lodewright.operators.hierarchy import flatten_hierarchy
 
@@ -54,6 +54,24 @@ def test_facts_outside_the_calendar_stay(spark):
     assert [(row.id, row.date_type) for row in rows] == [(1, "元旦节"), (2, None), (3, None)]
 
 
+def test_years_without_holiday_rows_have_no_kinds_of_days(spark):
+    for day in (date(1996, 1, 1), date(1996, 2, 19), date(2025, 1, 1), date(2025, 1, 29)):
+        row = workday_calendar(date_span(spark, day, day)).first()
+        assert (row.date_type, row.is_workday, row.uyear) == (None, None, day.year)
+
+
+def test_long_keys_are_not_cut(spark):
+    rows = spark.sql("SELECT * FROM VALUES (7L), (123456789L), (12345678901L) AS k(n)")
+    assert [row[0] for row in rows.select(padded("n", 8)).collect()] == ["00000007", "123456789", "12345678901"]
+
+
+def test_hierarchy_of_three_frames_reads_the_leaves_once(spark):
+    codes = spark.createDataFrame([("110000", "N"), ("110100", "City"), ("110101", "A")], "id string, name string")
+    leaves, cities, provinces = (codes.where(f"name = '{n}'") for n in ("A", "City", "N"))
+    flat = flatten_hierarchy(leaves, provinces=provinces, cities=cities)
+    assert [tuple(row) for row in flat.collect()] == [tuple(row) for row in flatten_hierarchy(codes).collect()]
+
+
 def test_hierarchy(spark):
     codes = spark.createDataFrame(
         [

@@ -98,7 +98,7 @@ def test_apply_changes(spark):
     wanted = [(1, "one again"), (3, "three"), (4, "d"), (9, "nine")]
     assert sorted(map(tuple, result.collect())) == wanted
     again = apply_changes(target, changes.withColumnRenamed("name", "name"), ["id"], ["seq"],
-                          max_changes=7)
+                          )
     assert sorted(map(tuple, again.collect())) == wanted
     assert "left_anti" in _plan(again).lower() or "LeftAnti" in _plan(again)
 

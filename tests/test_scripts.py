@@ -1,32 +1,30 @@
 from __future__ import annotations
 
+import time
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from lodewright.operators import scripts
 from lodewright.operators.dictionary import HEADINGS, ddl_dictionary, dictionary_file
 
-SCRIPT = """
-/* first ;
-/* inner */
-*/
-SET VAR: day = 'x;y', b= 1 ;
-select ${day} ;
-select '/*;*/'
-*
-from s; -- after ;
-select /*a/*b */ c */ now() /*quote's ;/*d*/ ;e*/
-    , b -- inline ;
-    , 'two; words'
-from t ; select  --- x ;
--- whole line ;
-y
-from "b;c"; select ';--'; select `a;b`; select 'it''s;', 'it\\'s;'
- , 'line
- -- two;'; select /*+ coalesce(1) */ 1; -- ' end' ;
-;; /* nothing */ ;
-add jar "/j.jar"; with s as (select 1) insert into t select 'x'; select 'insert';
-set a.b = 'c=d'"""
+# What may hide a separator, with a place for it.
+HOLDERS = {
+    "single": "'{}'", "double": '"{}"', "back": "`{}`", "block": "/* {} */", "nested": "/* /* {} */ */",
+    "line": "-- {}\n",
+}
+# What would mean something in code; quotes of the holder's own kind and ends of comments are left out.
+MARKS = {
+    ";": (), "--": (), "/*": ("block", "nested"), "'": ("single",), '"': ("double",), "`": ("back",),
+    "end;": (), "${x}": (), "set var: k = v;": (),
+}
+CASES = [
+    (holder.format(mark), name)
+    for mark, never in MARKS.items()
+    for name, holder in HOLDERS.items()
+    if name not in never
+]
 
 
 def _frame(spark, *texts):
@@ -40,28 +38,42 @@ def _split(spark, *texts):
     return [(row.script_id, row.pos, row.stmt, row.malformed) for row in rows]
 
 
-def test_split_and_classify(spark):
-    rows = scripts.classify_statements(_frame(spark, SCRIPT)).orderBy("pos").collect()
-    found = [(row.stmt, row.kind, row.key, row.value, row.sql_id) for row in rows]
-    assert found == [
-        ("/* first ;\n/* inner */\n*/\nSET VAR: day = 'x;y', b= 1", "set_variable", "day", "'x",
-         None),
-        ("select ${day}", "other", None, None, 1),
-        ("select '/*;*/'\n*\nfrom s", "other", None, None, 2),
-        ("-- after ;\nselect /*a/*b */ c */ now() /*quote's ;/*d*/ ;e*/\n    , b -- inline ;\n"
-         "    , 'two; words'\nfrom t", "other", None, None, 3),
-        ("select  --- x ;\n\ny\nfrom \"b;c\"", "other", None, None, 4),
-        ("select ';--'", "other", None, None, 5),
-        ("select `a;b`", "other", None, None, 6),
-        ("select 'it''s;', 'it\\'s;'\n , 'line\n -- two;'", "other", None, None, 7),
-        ("select /*+ coalesce(1) */ 1", "other", None, None, 8),
-        ('add jar "/j.jar"', "add_jar", None, "/j.jar", 9),
-        ("with s as (select 1) insert into t select 'x'", "insert", None, None, 10),
-        ("select 'insert'", "other", None, None, 11),
-        ("set a.b = 'c=d'", "set", "a.b", "c=d", 12),
+def test_every_holder_hides_every_mark(spark):
+    texts = [f"head {held} tail; next" for held, _ in CASES]
+    found = {(row[0], row[1]): row[2:] for row in _split(spark, *texts)}
+    for number, (held, name) in enumerate(CASES):
+        kept = f"head {held} tail" if name != "line" else f"head {held} tail"
+        assert found[number, 0] == (kept, False), held
+        assert found[number, 1] == ("next", False), held
+    assert len(found) == 2 * len(CASES)
+
+
+def test_kinds_keys_and_numbers(spark):
+    text = (
+        "set var: n = 3;set 'k.a' = 'it''s'; set k.b = a \"q\" b;add jar '/x.jar';/* c */ insert into t select 1;"
+        "from s insert overwrite t select 2;with w as (select 'insert into') select 3;;  ;select/*touching*/4"
+    )
+    rows = scripts.classify_statements(_frame(spark, text)).orderBy("pos").collect()
+    assert [(row.kind, row.key, row.value, row.sql_id) for row in rows] == [
+        ("set_variable", "n", "3", None),
+        ("set", "k.a", "it''s", 1),
+        ("set", "k.b", 'a "q" b', 2),
+        ("add_jar", None, "/x.jar", 3),
+        ("insert", None, None, 4),
+        ("insert", None, None, 5),
+        ("other", None, None, 6),
+        ("other", None, None, 7),
     ]
 
 
+def test_many_touching_comments_take_linear_time(spark):
+    text = "a/*x*/+b/*y*/" * 80_000
+    began = time.perf_counter()
+    rows = scripts.classify_statements(_frame(spark, text)).collect()
+    assert len(rows) == 1 and len(rows[0].stmt) == len(text)
+    assert time.perf_counter() - began < 10
+
+
 def test_malformed_scripts_are_kept_and_marked(spark):
     assert _split(spark, "a; 'b; c", "/* a; /* b */ c", "a */ b", "", None, "a; b", '"') == [
         (0, 0, "a", True), (0, 1, "'b; c", True),
@@ -147,39 +159,44 @@ def test_unwrap_statement_set(spark):
     )
 
 
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("EXECUTE STATEMENT SET BEGIN insert into a select '; end; x' ; insert into b select 1; END;",
+         " insert into a select '; end; x' ; insert into b select 1; "),
+        ("select 'execute statement set begin k; end;'", "select 'execute statement set begin k; end;'"),
+        ("execute statement set begin x; /* done; end; */ END;", " x; /* done; end; */ "),
+        ("a; execute statement set begin x;", "a; execute statement set begin x;"),
+        ("execute statement set begin x; end; y; execute statement set begin z; end;", " x;  y;  z; "),
+    ],
+)
+def test_unwrapping_reads_literals_and_comments(spark, text, wanted):
+    assert scripts.unwrap_statement_set(_frame(spark, text)).first().text == wanted
+
+
 DDL = """
--- tables; of a shop
-create table if Not exists Shop.db.items (
-    id int comment'ID',
-    name string comment ' 名称, it''s (new); '
-)   comment '商品';
-CREATE TABLE shop.db.sales(
-    id int comment 'ID'
-    ,price decimal(13, 2) comment '价格'
-    ,tags struct<a: int, b: array<map<string, array<struct<c: int, d: int>>>>>
-    ,code varchar(200), note string comment ''
-)comment 'Sales' with ('k' = 'v(,');
-create table c as select f(a, b), c from t;
-create table broken (a int, b int;
-create table last (big (7) int)"""
+CREATE TABLE IF NOT EXISTS Lib.books (isbn string, price decimal(9, 2) comment 'with, comma (and brackets)',
+  pages int) comment 'Books';
+create table lib.loans (who bigint comment 'it''s a reader', parts struct<a: int, b: map<string, array<int>>>)
+  with ('comment' = 'x') partitioned by (day string comment 'day', hour int) comment 'Loans';
+create table copied as select f(a, b), c from t;
+create table unfinished (a int, b int;
+create table lib.plain (n int) partitioned by (n)"""
 
 
 def test_dictionary(spark):
     frame = ddl_dictionary(_frame(spark, DDL)).orderBy("pos", "field_pos")
     rows = [tuple(row[name] for name in HEADINGS) for row in frame.collect()]
     assert rows == [
-        ("shop.db.items", "商品", "id", "ID", "int"),
-        ("shop.db.items", "商品", "name", "名称, it's (new);", "string"),
-        ("shop.db.sales", "Sales", "id", "ID", "int"),
-        ("shop.db.sales", "Sales", "price", "价格", "decimal(13,2)"),
-        ("shop.db.sales", "Sales", "tags", "",
-         "struct<a:int,b:array<map<string,array<struct<c:int,d:int>>>>>"),
-        ("shop.db.sales", "Sales", "code", "", "varchar(200)"),
-        ("shop.db.sales", "Sales", "note", "", "string"),
-        ("last", "", "big(7)", "", "int"),
+        ("lib.books", "Books", "isbn", "", "string"),
+        ("lib.books", "Books", "price", "with, comma (and brackets)", "decimal(9,2)"),
+        ("lib.books", "Books", "pages", "", "int"),
+        ("lib.loans", "Loans", "who", "it's a reader", "bigint"),
+        ("lib.loans", "Loans", "parts", "", "struct<a:int,b:map<string,array<int>>>"),
+        ("lib.loans", "Loans", "day", "day", "string"),
+        ("lib.loans", "Loans", "hour", "", "int"),
+        ("lib.plain", "", "n", "", "int"),
     ]
     folded = ddl_dictionary(_frame(spark, DDL), fold_case=True)
-    assert {row.field_comment for row in folded.collect()} == {
-        "id", "名称, it's (new);", "价格", ""
-    }
+    assert "books" in {row.table_comment for row in folded.collect()}
     assert dictionary_file(folded).columns == ["表名", "表描述", "字段名", "字段描述", "字段类型"]

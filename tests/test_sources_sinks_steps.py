@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,9 +9,10 @@ from lodewright.plans.steps import StepError, preview, run_steps
 from lodewright.session import shared_dir
 from lodewright.sinks.fanout import Sink, write_sinks
 from lodewright.sinks.files import compact, write_csv
-from lodewright.sinks.tables import insert_select, publish_partition
-from lodewright.sources.files import read_csv, read_lines, read_scripts, spread
+from lodewright.sinks.tables import insert_select, publish, publish_partition
+from lodewright.sources.files import read_csv, read_lines, read_scripts
 from lodewright.sources.rows import generated_rows, generated_stream, inline_rows
+from lodewright.streaming.changes import current_rows, start_changes, stream_changes
 from lodewright.streaming.jobs import follow, read_sink, start_copy, start_sinks
 from lodewright.streaming.settings import StreamSettings, settings_from, spark_interval
 
@@ -58,12 +61,6 @@ def test_generated_stream_ends_at_its_last_row(spark, tmp_path):
     assert sorted(row.id for row in rows.collect()) == [1, 2, 3, 4, 5]
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
-
-
 @pytest.mark.parametrize("reuse", ["scan", "table", "persist"])
 def test_sinks(spark, tmp_path, reuse):
     rows = spark.range(10)
@@ -163,9 +160,46 @@ def test_steps(spark, tmp_path):
 
 
 def test_shared_dir_follows_the_session(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        assert shared_dir(spark, "x").startswith(base.rstrip("/") + "/lodewright/x-")
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark, "x").startswith(base.rstrip("/") + "/lodewright/x-")
+
+
+def test_unknown_names_in_braces_stay(spark):
+    found = run_steps(spark, [("kept", "SELECT '${x}' AS a, 'p${y}q' AS b")])
+    assert tuple(found["kept"].first()) == ("${x}", "p${y}q")
+
+
+def test_publish_refuses_partitioned_tables(spark, tmp_path):
+    name = f"parted_{uuid.uuid4().hex}"
+    rows = spark.range(3).withColumn("day", F.lit("a"))
+    rows.write.partitionBy("day").option("path", str(tmp_path / "v1")).saveAsTable(name)
+    with pytest.raises(ValueError, match="partitioned"):
+        publish(spark.table(name).where("id > 1"), name, str(tmp_path / "v2"))
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_backlog_is_worked_off_in_batches(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id % 5 AS id", "id AS seq", "'U' AS op")
+    rows.repartition(4).write.parquet(str(tmp_path / "files"))
+    changes = stream_changes(spark, str(tmp_path / "files"), rows.schema, max_files=1)
+    settings = StreamSettings(str(tmp_path / "checkpoint"))
+    query = start_changes(changes, str(tmp_path / "batches"), ["id"], ["seq"], settings)
+    query.awaitTermination()
+    assert len(list((tmp_path / "batches").glob("batch_id=*"))) == 4
+    last = current_rows(spark, str(tmp_path / "batches"), rows.schema, ["id"], ["seq"])
+    assert sorted((r.id, r.seq) for r in last.collect()) == [(i, 35 + i) for i in range(5)]
+
+
+def test_finished_partition_of_a_stream_is_compacted(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id", "CAST(id % 2 AS STRING) AS day")
+    rows.repartition(4).write.parquet(str(tmp_path / "source"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "source"))
+    path = str(tmp_path / "rows")
+    settings = StreamSettings(str(tmp_path / "checkpoint"))
+    start_copy(stream, path, settings, "parquet", ["day"]).awaitTermination()
+    files = compact(spark, path, str(tmp_path / "day1"), "parquet", rows.schema, {"day": "1"})
+    assert files == 1
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "day1")).collect()) == list(range(1, 40, 2))
 
 
 def test_compacting_a_stream_passes_over_uncommitted_files(spark, tmp_path):
