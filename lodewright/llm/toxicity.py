@@ -75,13 +75,17 @@ def units_of(words: list[str]) -> list[str]:
 
 
 def spaced(text: str) -> list[str]:
-    """Runs of three or more single characters, as parts of a unit's size."""
-    runs = _SPACED.findall(" ".join(text.split()))
-    return [
-        (BEGIN if i == 0 else "") + run[i : i + UNIT]
-        for run in runs
-        for i in range(0, max(1, len(run) - UNIT // 2), UNIT // 2)
-    ]
+    """Runs of three or more single characters, with and without blanks, as parts of a unit's size."""
+    out = []
+    for run in _SPACED.findall(" ".join(text.split())):
+        letters = run.replace(" ", "")
+        # The first character may be a word of its own.
+        for whole in (run, letters, letters[1:]):
+            out += [
+                (BEGIN if i == 0 else "") + whole[i : i + UNIT]
+                for i in range(0, max(1, len(whole) - UNIT // 2), UNIT // 2)
+            ]
+    return out
 
 
 def _coded(strings: list[str], missing: int) -> np.ndarray:
