@@ -80,7 +80,7 @@ def test_fingerprints_and_edited_texts(spark):
         assert by[i].sketch == sorted(by[i].sketch)
     assert by[0].sketch == by[4].sketch
     assert (by[2].near_next, by[3].near_next) == (1.0, 0.0)
-    assert fingerprints.edited(documents(_docs(spark, ["a b"]))).first().edited == "a b"
+    assert fingerprints.edited(documents(_docs(spark, ["a b"]))).first().edited == "a a"
     assert fingerprints.edited(documents(_docs(spark, ["a"]).where("doc_id > 5"))).count() == 0
 
 
