@@ -8,8 +8,8 @@ are stored as a prefix tree, sorted sequences of which each shares the overlap c
 before, and subtrees whose remaining lengths can't reach the link are passed over.
 
 Only connectivity is wanted, so no pair inside a component that is known already is looked at: a first round
-compares each class with one class of an n-gram it shares, a second one all pairs that are in different
-components after it.
+compares each class with one class of an n-gram it shares, a second one with one of the component that most
+classes of an n-gram are in, and a third one all pairs that are in different components after both.
 """
 
 from __future__ import annotations
@@ -329,39 +329,18 @@ def join(
     bits = classes.select("cid", "n", *_BIT_NAMES)
 
     # First round: each class and that hub with which it shares most of its first n-grams.
-    shares = rows.where("cid != hub").groupBy("cid", "hub").agg(F.count("*").alias("shared"))
-    hubs = shares.groupBy("cid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
-    first = (
-        hubs.join(bits.alias("x"), "cid")
-        .join(bits.withColumnRenamed("cid", "hub").alias("y"), "hub")
-        .where(F.abs(F.col("x.n") - F.col("y.n")) <= _slack(F.col("x.n"), F.col("y.n"), percent))
-        .where(_parity("x", "y") <= _slack(F.col("x.n"), F.col("y.n"), percent))
-        .select(F.col("cid").alias("a"), F.col("hub").alias("b"))
-    )
-    links = _linked(docs, classes, first, frequent, words, percent)
+    links = _linked(docs, classes, _best_hubs(rows.where("cid != hub"), bits, percent), frequent, words, percent)
+    # Second round: hubs of the main component of an n-gram, for its classes in other components.
+    placed, spread = _components_of(rows, components(links))
+    main = placed.join(spread.select("token", "main"), "token")
+    hubs = main.where("component = main").groupBy("token").agg(F.min("cid").alias("hub"))
+    others = main.where("component != main").join(hubs, "token")
+    more = _linked(docs, classes, _best_hubs(others, bits, percent), frequent, words, percent)
+    links = written(links.unionAll(more), "links")
     known = components(links)
 
-    # Second round: n-grams whose classes are in several components still.
-    placed = rows.select("token", "cid", "place").join(known, "cid", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "cid"))
-    spread = (
-        placed.groupBy("token", "component")
-        .agg(F.count("*").alias("number"))
-        .groupBy("token")
-        .agg(
-            F.max_by("component", F.struct("number", "component")).alias("main"),
-            F.max("number").alias("most"),
-            F.sum("number").alias("number"),
-            F.count("*").alias("components"),
-        )
-        .where("components > 1")
-        .select(
-            "token",
-            "main",
-            F.ceil(F.col("most") / BLOCK).alias("main_parts"),
-            F.ceil((F.col("number") - F.col("most")) / BLOCK).alias("other_parts"),
-        )
-    )
+    # Third round: all pairs of n-grams whose classes are in several components still.
+    placed, spread = _components_of(rows, known)
     open_rows = placed.join(spread, "token").join(bits, "cid")
     in_main = F.col("component") == F.col("main")
     part = F.pmod(F.xxhash64("cid"), F.when(in_main, F.col("main_parts")).otherwise(F.col("other_parts")))
@@ -409,6 +388,46 @@ def join(
     )
 
 
+def _best_hubs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each class and the hub it shares most n-grams with, if sizes and bitmaps allow a link."""
+    shares = rows.groupBy("cid", "hub").agg(F.count("*").alias("shared"))
+    hubs = shares.groupBy("cid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+    x, y = bits.alias("x"), bits.withColumnRenamed("cid", "hub").alias("y")
+    slack = _slack(F.col("x.n"), F.col("y.n"), percent)
+    return (
+        hubs.join(x, "cid")
+        .join(y, "hub")
+        .where((F.abs(F.col("x.n") - F.col("y.n")) <= slack) & (_parity("x", "y") <= slack))
+        .select(F.col("cid").alias("a"), F.col("hub").alias("b"))
+    )
+
+
+def _components_of(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with their classes' components, and the n-grams whose classes are in several: with the component
+    that most are in, and the blocks that it and the others make."""
+    placed = rows.select("token", "cid", "place").join(known, "cid", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "cid"))
+    spread = (
+        placed.groupBy("token", "component")
+        .agg(F.count("*").alias("number"))
+        .groupBy("token")
+        .agg(
+            F.max_by("component", F.struct("number", "component")).alias("main"),
+            F.max("number").alias("most"),
+            F.sum("number").alias("number"),
+            F.count("*").alias("components"),
+        )
+        .where("components > 1")
+        .select(
+            "token",
+            "main",
+            F.ceil(F.col("most") / BLOCK).alias("main_parts"),
+            F.ceil((F.col("number") - F.col("most")) / BLOCK).alias("other_parts"),
+        )
+    )
+    return placed, spread
+
+
 def _linked(
     docs: DataFrame, classes: DataFrame, pairs: DataFrame, frequent: np.ndarray, words: int, percent: int
 ) -> DataFrame:
