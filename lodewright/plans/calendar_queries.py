@@ -163,7 +163,7 @@ WITH codes AS (
     FROM nation WHERE n_regionkey > 0
     UNION ALL
     SELECT '1' || n_regionkey || lpad(CAST(n_nationkey AS VARCHAR), 2, '0')
-               || lpad(CAST(c_custkey + 1 AS VARCHAR), greatest(length(CAST(c_custkey + 1 AS VARCHAR)), 10), '0'),
+               || lpad(CAST(c_custkey + 1 AS VARCHAR), CAST(greatest(length(CAST(c_custkey + 1 AS VARCHAR)), 10) AS INTEGER), '0'),
            c_name
     FROM customer JOIN nation ON c_nationkey = n_nationkey
 )

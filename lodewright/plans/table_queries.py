@@ -353,7 +353,7 @@ FROM events""",
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
 FROM events""",
     "customers_through_csv": """
-SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 8), '0') AS code, c_name, c_nationkey, c_acctbal,
+SELECT lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 8) AS INTEGER), '0') AS code, c_name, c_nationkey, c_acctbal,
        c_mktsegment
 FROM customer""",
     "segment_revenue_steps": """
