@@ -25,6 +25,9 @@ from lodewright.llm.tables import discard, documents, written
 
 LEAST = 400
 GRAM = 128
+# Words that a passage of the pipeline is longer than, and the piece that leads its strings to shards.
+WORDS = 50
+WORDS_GRAM = 32
 # Occurrences of a hash that one shard takes; more are dealt to several.
 SHARE = 64
 # Suffixes that a shard's sorting holds in memory.
@@ -315,8 +318,7 @@ def spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM, memory: int = M
     number = places.agg(F.sum(F.size("places"))).first()[0] or 0
     # A run has half as many strings as pieces fit beside each other, and its segment their bytes.
     shards = max(1, number * (least + (least - gram) // 2) // SHARD_BYTES)
-    texts = _keyed(docs).groupBy("key").agg(F.first("data").alias("data"), F.count("*").alias("copies"))
-    chosen = texts.join(places, "key").select("key", "data", "copies", "places")
+    chosen = _texts(docs).join(places, "key").select("key", "data", "copies", "places")
     segments = _segments(chosen, least, gram)
     found = written(
         segments.repartition(shards, "hash", "part").mapInArrow(_search(least, memory), _FOUND), "repeats"
@@ -332,16 +334,22 @@ def spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM, memory: int = M
 _RESULT = "key binary, n_bytes long, n_removed long, spans array<struct<begin:long,size:long>>, kept binary"
 
 
+def _merged(ranges) -> list[list[int]]:
+    """[begin, end] of ranges that touch or overlap, as one each."""
+    merged: list[list[int]] = []
+    for begin, size in sorted((r["begin"], r["size"]) for r in ranges):
+        if merged and begin <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], begin + size)
+        else:
+            merged.append([begin, begin + size])
+    return merged
+
+
 def _cut(batches):
     for batch in batches:
         for key, data, ranges in zip(*(batch.column(i) for i in range(3))):
             raw = data.as_py()
-            merged: list[list[int]] = []
-            for begin, size in sorted((r["begin"], r["size"]) for r in ranges.as_py()):
-                if merged and begin <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], begin + size)
-                else:
-                    merged.append([begin, begin + size])
+            merged = _merged(ranges.as_py())
             kept, at = [], 0
             for begin, end in merged:
                 kept.append(raw[at:begin])
@@ -361,6 +369,29 @@ def _cut(batches):
             )
 
 
+_NO_RANGES = "array<struct<begin:bigint,size:bigint>>"
+
+
+def _whole(least: int):
+    """The range of a whole text that has copies, if it has so many bytes."""
+    return F.when(
+        (F.col("copies") > 1) & (F.length("data") >= least),
+        F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.length("data").cast("long").alias("size"))),
+    ).otherwise(F.array().cast(_NO_RANGES))
+
+
+def _lossy(texts: DataFrame, found: DataFrame, least: int) -> DataFrame:
+    """(key, data, ranges, copies) of the texts (key, data, copies) that ``found`` has ranges of, or that repeat."""
+    own = found.groupBy("key").agg(F.collect_list(F.struct("begin", "size")).alias("ranges"))
+    ranges = F.concat(F.coalesce("ranges", F.array().cast(_NO_RANGES)), _whole(least))
+    lossy = texts.join(own, "key", "left").select("key", "data", ranges.alias("ranges"), "copies")
+    return lossy.where(F.size("ranges") > 0)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return _keyed(docs).groupBy("key").agg(F.first("data").alias("data"), F.count("*").alias("copies"))
+
+
 def remove(docs: DataFrame, least: int = LEAST, gram: int = GRAM, memory: int = MEMORY) -> DataFrame:
     """(key, n_bytes, n_removed, spans, kept) of each text that loses bytes; ``key`` is the md5 of the text.
 
@@ -368,17 +399,94 @@ def remove(docs: DataFrame, least: int = LEAST, gram: int = GRAM, memory: int =
     begins anywhere else too, in the same text or another; strings don't cross texts, may overlap, and are judged
     on the input. Shorter and empty texts lose nothing; an empty table gives no rows.
     """
-    found = spans(docs, least, gram, memory).groupBy("key").agg(
-        F.collect_list(F.struct("begin", "size")).alias("ranges")
-    )
-    texts = _keyed(docs).groupBy("key").agg(F.first("data").alias("data"), F.count("*").alias("copies"))
-    whole = F.when(
-        (F.col("copies") > 1) & (F.length("data") >= least),
-        F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.length("data").cast("long").alias("size"))),
-    ).otherwise(F.array().cast("array<struct<begin:bigint,size:bigint>>"))
-    ranges = F.concat(F.coalesce("ranges", F.array().cast("array<struct<begin:bigint,size:bigint>>")), whole)
-    lossy = texts.join(found, "key", "left").select("key", "data", ranges.alias("ranges"))
-    return lossy.where(F.size("ranges") > 0).mapInArrow(_cut, _RESULT)
+    lossy = _lossy(_texts(docs), spans(docs, least, gram, memory), least)
+    return lossy.drop("copies").mapInArrow(_cut, _RESULT)
+
+
+_BLANK = np.isin(np.arange(256), [*range(9, 14), 32])
+# Marks at the ends of a passage aren't part of it: all ASCII that are neither letters, digits nor blanks.
+_MARK = np.array([c < 128 and not chr(c).isalnum() for c in range(256)]) & ~_BLANK
+
+
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends, without the marks around it unless it has nothing else."""
+    blank = np.concatenate([[True], _BLANK[data], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    first, last = edges[::2], edges[1::2]
+    solid = np.flatnonzero(~_BLANK[data] & ~_MARK[data])
+    if not len(solid):
+        return first, last
+    after = np.searchsorted(solid, first)
+    before = np.searchsorted(solid, last) - 1
+    real = before >= after
+    begin = np.where(real, solid[np.minimum(after, len(solid) - 1)], first)
+    return begin, np.where(real, solid[before] + 1, last)
+
+
+_WINDOWS = "digest binary, key binary, begin long, size long, copies long"
+
+
+def _windows(words: int):
+    """Each string of ``words`` + 1 words inside the ranges of the texts."""
+
+    def cut(batches):
+        for batch in batches:
+            for key, data, ranges, copies in zip(*(batch.column(i) for i in range(4))):
+                raw = data.as_py()
+                begins, ends = word_places(np.frombuffer(raw, np.uint8))
+                found: list[tuple[int, int]] = []
+                for a, b in _merged(ranges.as_py()):
+                    first, last = int(np.searchsorted(begins, a)), int(np.searchsorted(ends, b, side="right"))
+                    if last - first > words:
+                        found += zip(begins[first : last - words].tolist(), ends[first + words : last].tolist())
+                for low in range(0, len(found), _ROWS):
+                    part = found[low : low + _ROWS]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([hashlib.md5(raw[a:b]).digest() for a, b in part], pa.binary()),
+                            pa.array([key.as_py()] * len(part), pa.binary()),
+                            pa.array([a for a, _ in part], pa.int64()),
+                            pa.array([b - a for a, b in part], pa.int64()),
+                            pa.array([copies.as_py()] * len(part), pa.int64()),
+                        ],
+                        ["digest", "key", "begin", "size", "copies"],
+                    )
+
+    return cut
+
+
+def _long(least: int):
+    """Texts (text) with a stretch of ``least`` bytes inside their ranges."""
+
+    def keep(batches):
+        for batch in batches:
+            ranges = batch.column(1).to_pylist()
+            real = [any(b - a >= least for a, b in _merged(r)) for r in ranges]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(real, pa.bool_()))], ["data"])
+
+    return keep
+
+
+def remove_passages(docs: DataFrame, words: int = WORDS, least: int = LEAST, memory: int = MEMORY) -> DataFrame:
+    """Like ``remove``, of passages that repeat: strings of more than ``words`` whole words, and for writing with
+    few blanks those of ``least`` bytes.
+
+    More than ``words`` words have 2 * ``words`` + 1 bytes at least, a letter each and the blanks between them.
+    Strings of so many bytes that repeat are found first, of any text. In the stretches they cover each string of
+    ``words`` + 1 words is then compared as a whole, so that shorter repeats beside each other don't count as one.
+    """
+    shortest = 2 * words + 1
+    gram = min(WORDS_GRAM, -(-shortest // 3))
+    near = written(_lossy(_texts(docs), spans(docs, shortest, gram, memory), shortest), "near")
+    windows = written(near.mapInArrow(_windows(words), _WINDOWS), "windows")
+    often = windows.groupBy("digest").agg(F.sum("copies").alias("total")).where("total > 1")
+    worded = windows.join(often, "digest", "left_semi").select("key", "begin", "size")
+    # A repeated string of `least` bytes is in such a stretch in each text that has it.
+    stretched = near.select("data", "ranges").mapInArrow(_long(least), "data binary")
+    stretched = stretched.select(F.lit(0).alias("doc_id"), F.col("data").cast("string").alias("text"))
+    found = worded.unionAll(spans(stretched, least, GRAM, memory))
+    lossy = _lossy(near.select("key", "data", "copies"), found, least)
+    return lossy.drop("copies").mapInArrow(_cut, _RESULT)
 
 
 def kept_texts(lost: DataFrame) -> DataFrame:

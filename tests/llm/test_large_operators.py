@@ -77,6 +77,29 @@ def test_removed_repeats_equal_counting_all_strings(spark, monkeypatch):
     assert repeats.deduplicated(_frame(spark, rows).where("false")).count() == 0
 
 
+def test_passages_of_over_fifty_words_go_whatever_their_bytes(spark):
+    draw = random.Random(9)
+    made = iter(range(10**6))
+    fresh = lambda n: " ".join(f"{draw.choice('abcdefgh')}{next(made)}" for _ in range(n))
+    long, short, left, right = fresh(51), fresh(50), fresh(30), fresh(30)
+    tiny = " ".join(draw.choice("abcdefghijklmnopq") for _ in range(51))
+    solid = "".join(draw.choice("日本語文字列") for _ in range(200))
+    assert len(long.encode()) < 400 and len(tiny) == 101
+    rows = [(i, f"{fresh(20)} {p} {fresh(20)}") for i, p in enumerate(
+        [long, f"({long}).", short, short, f"{left} {right}", left, right, tiny, tiny, fresh(90), solid, solid])]
+    twice = fresh(60)
+    rows += [(20, twice), (21, twice), (22, None), (23, ""), (24, long[3:])]
+    docs = _frame(spark, rows).select("doc_id", "text").fillna("", ["text"])
+    lost = {bytes(r.key): r for r in repeats.remove_passages(docs, memory=1000).collect()}
+    gone = {k: lost[hashlib.md5((t or "").encode()).digest()].kept.decode() for k, t in rows
+            if hashlib.md5((t or "").encode()).digest() in lost}
+    assert sorted(gone) == [0, 1, 7, 8, 10, 11, 20, 21]
+    for key, passage in ((0, long), (1, long), (7, tiny), (8, tiny), (20, twice)):
+        assert gone[key] == rows[key][1].replace(passage, "") if key < 20 else gone[key] == ""
+    assert all(solid[1:-1] not in gone[k] for k in (10, 11))
+    assert repeats.remove_passages(docs.where("false")).count() == 0
+
+
 def _linked(rows, words, percent):
     sets = []
     for _, text in rows:

@@ -50,3 +50,12 @@ def test_stages_take_empty_tables_and_nulls(spark):
         assert stage(spark, odd.where("false"), FOLDER).count() == 0
         assert stage(spark, odd, FOLDER).count() == 4
     assert toxicity.THRESHOLD == 0.3
+
+
+def test_stage_removes_a_passage_of_51_words(spark):
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    passage = " ".join(f"word{i:02}" for i in range(51))
+    assert len(passage) < 400
+    rows = [(i, f"begin{i} {passage} end{i}", "en", "s", 0) for i in (1, 2)]
+    found = corpus_pipeline.without_repeats(spark, spark.createDataFrame(rows, schema), FOLDER).collect()
+    assert sorted(r.text for r in found) == ["begin1  end1", "begin2  end2"]
