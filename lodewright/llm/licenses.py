@@ -1,16 +1,19 @@
 """Licence notices in texts: parts of a text compared to templates by the Dice coefficient of word bigrams.
 
-A part is a sentence, a line, or the text as a whole. Texts and templates are normalised alike: ASCII letters in
-lower case, all but letters and digits as one blank. Two sets of n and m bigrams can reach the least coefficient
-d only if n is between d/(2-d) and (2-d)/d times m, so the templates of other sizes are passed over. A part
-that reaches d has d/(2-d) of a template's bigrams at least, so texts that hold none of the others and one more are
-passed over before they are cut into parts. All of it is Spark expressions on the row.
+A part is a sentence, a line, the text as a whole, or a window of consecutive words anywhere in it, across lines and
+sentences. Texts and templates are normalised alike: ASCII letters in lower case, all but letters and digits as one
+blank. Two sets of n and m bigrams can reach the least coefficient d only if n is between d/(2-d) and (2-d)/d times
+m, so the templates of other sizes are passed over. A part that reaches d has d/(2-d) of a template's bigrams at
+least, so texts that hold none of the others and one more are passed over before they are cut into parts, and
+windows are made for templates only of which the text has so many bigrams. The best window begins and ends with a
+bigram of the template, as others could be shortened; it has up to (2-d)/d times m bigrams. All of it is Spark
+expressions on the row.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
+from math import ceil, floor
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -72,6 +75,81 @@ def _template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def _windows(flat: Column, known: dict[str, list[str]], least: float) -> Column:
+    """(dice, licence) of the best window of consecutive words of a normalised text, by template; null or none where
+    the text has too few of its bigrams."""
+    templates = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("licence"),
+                F.array(*map(F.lit, pairs)).alias("own"),
+                F.lit(ceil(len(pairs) * least / (2 - least) - 1e-9)).alias("need"),
+                F.lit(floor(len(pairs) * (2 - least) / least + 1e-9)).alias("most"),
+            )
+            for name, pairs in sorted(known.items())
+        )
+    )
+    near = F.filter(
+        templates, lambda t: F.size(F.filter(t["own"], lambda pair: F.contains(flat, pair))) >= t["need"]
+    )
+
+    def ordered(words: Column) -> Column:
+        """The pairs of neighbouring words, with repeats."""
+        return F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
+            lambda i: F.concat_ws(" ", F.slice(words, i, 2)),
+        )
+
+    def dice(window: Column, own: Column) -> Column:
+        return 2.0 * F.size(F.array_intersect(window, own)) / (F.size(F.array_distinct(window)) + F.size(own))
+
+    def from_hit(pairs: Column, hits: Column, k: Column, t: Column) -> Column:
+        """Of the windows that begin at the k-th hit and end at another one."""
+        first = F.element_at(hits, k)
+        ends = F.filter(F.slice(hits, k, t["most"]), lambda e: e < first + t["most"])
+        return let(
+            ends,
+            lambda ends: F.when(
+                F.size(ends) >= t["need"],
+                F.transform(
+                    F.slice(ends, t["need"], F.size(ends)),
+                    lambda e: dice(F.slice(pairs, first, e - first + 1), t["own"]),
+                ),
+            ).otherwise(F.array().cast("array<double>")),
+        )
+
+    def best(pairs: Column, t: Column) -> Column:
+        hits = F.filter(
+            F.sequence(F.lit(1), F.size(pairs)), lambda i: F.array_contains(t["own"], F.element_at(pairs, i))
+        )
+        return let(
+            hits,
+            lambda hits: F.when(
+                F.size(hits) >= t["need"],
+                F.array_max(
+                    F.flatten(
+                        F.transform(
+                            F.sequence(F.lit(1), F.size(hits)), lambda k: from_hit(pairs, hits, k, t)
+                        )
+                    )
+                ),
+            ),
+        )
+
+    none = F.array().cast("array<struct<dice:double,licence:string>>")
+    return let(
+        near,
+        lambda near: F.when(F.size(near) == 0, none).otherwise(
+            let(
+                let(F.split(flat, " "), ordered),
+                lambda pairs: F.transform(
+                    near, lambda t: F.struct(best(pairs, t).alias("dice"), t["licence"].alias("licence"))
+                ),
+            )
+        ),
+    )
+
+
 def scan(
     frame: DataFrame,
     templates: dict[str, str] | None = None,
@@ -111,6 +189,8 @@ def scan(
     rows = rows.withColumn("flat", normalised(whole))
     telltale = reduce(or_, (F.contains("flat", F.lit(pair)) for pair in telling))
     none = F.array().cast("array<string>")
+    across = F.array().cast("array<struct<dice:double,licence:string>>")
+    rows = rows.withColumn("windows", F.when(telltale, _windows(F.col("flat"), known, least)).otherwise(across))
     pieces = rows.withColumn("parts", F.when(telltale, parts).otherwise(none)).withColumn(
         "parts",
         F.filter(
@@ -133,7 +213,8 @@ def scan(
         dice = F.transform(
             near, lambda b: 2.0 * F.size(F.array_intersect(b, own)) / (F.size(b) + sizes[name])
         )
-        return F.struct(F.array_max(dice).alias("dice"), F.lit(name).alias("licence"))
+        across = F.transform(F.filter("windows", lambda x: x["licence"] == name), lambda x: x["dice"])
+        return F.struct(F.array_max(F.concat(dice, across)).alias("dice"), F.lit(name).alias("licence"))
 
     found = F.array_sort(
         F.filter(F.array(*(best(name) for name in sorted(known))), lambda x: x["dice"] >= least),

@@ -147,6 +147,47 @@ def test_licences(spark):
     assert licenses.scan(_docs(spark, ["x"]).where("false")).count() == 0
 
 
+def test_licences_wrapped_over_lines(spark):
+    wrapped = {
+        "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted "
+        "provided that the following conditions\nare met:",
+        "MIT-notice": "Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and "
+        "associated documentation\n# files (the \"Software\"), to deal in the Software without restriction",
+        "GPL-3.0-notice": "This program is free software: you can redistribute\n * it and/or modify it under the terms of "
+        "the GNU\n * General Public License as published by the Free Software Foundation; either\n * version 3 of the "
+        "License, or (at your option) any later version.",
+    }
+    words = " ".join(f"w{i} of the" for i in range(300))
+    texts = [f"{words}\n\n{notice}\n{words}. The end" for notice in wrapped.values()]
+    half = "Redistribution and use in source\nand binary forms, with or without\nchanges are another thing"
+    rows = {r.doc_id: r for r in licenses.scan(_docs(spark, [*texts, f"{words} {half} {words}"])).collect()}
+    for i, name in enumerate(wrapped):
+        assert rows[i].licence == name and rows[i].dice > 0.95
+    assert (rows[3].licence, rows[3].n_licences) == (None, 0)
+
+
+def test_best_window_equals_trying_all(spark):
+    import random
+
+    draw = random.Random(2)
+    own = "a b c d e f g h i j"
+    texts = [" ".join(draw.choice([*"abcdefghijxy"]) for _ in range(4)) + "\n" + " ".join(
+        w for w in own.split() if draw.random() < 0.93 for w in [w] + ["x"] * (draw.random() < 0.1)) + ".\n" + "y z" for _ in range(60)]
+    pairs = licenses._template_bigrams(own)
+
+    def best(text):
+        w = text.replace(".", " ").split()
+        b = [f"{x} {y}" for x, y in zip(w, w[1:])]
+        sets = [set(b[i:j]) for i in range(len(b)) for j in range(i + 1, len(b) + 1)]
+        top = max(2 * len(s & set(pairs)) / (len(s) + len(pairs)) for s in sets)
+        return round(top, 9) if top >= 0.8 else None
+
+    rows = licenses.scan(_docs(spark, texts), {"own": own}).collect()
+    found = [None if r.dice is None else round(r.dice, 9) for r in sorted(rows, key=lambda r: r.doc_id)]
+    assert found == [best(t) for t in texts]
+    assert None in found and len(set(found)) > 3
+
+
 TEXTS = ["", None, "  a  b", " ", "\n\t x", "日本語 text😀 abc", "The quick brown fox's   jumped", "ﬁ Å é",
          "aaaaaaaaaaaaaaaaaaaaaaaaa bbbbb", "1,000.00", "<s> </s> <unk> <0x0A>", "x" * 400, "def f(x):\n    return x"]
 
