@@ -19,8 +19,11 @@ from lodewright.llm.tables import open_folder, written
 LEAF = 256
 SHARD_ROWS = 16_384
 QUERY_BLOCK = 1_024
-# Rounding of distances of unit vectors.
+# Rounding of distances of unit vectors, and of their products.
 EDGE = 1e-7
+PRODUCT_EDGE = 1e-9
+# Products, and components of pairs, that scoring a leaf holds at once.
+PRODUCTS = 1 << 20
 
 
 def usable(vector):
@@ -127,20 +130,37 @@ class Tree:
         return leaf_of
 
     def _score(self, rows, active, points, vectors, ids, best, k) -> None:
+        """Scores rows of a leaf for the queries: all whose rough product may be among the k best."""
+        step = max(1, PRODUCTS // len(rows))
+        for begin in range(0, len(active), step):
+            self._score_some(rows, active[begin : begin + step], points, vectors, ids, best, k)
+
+    def _score_some(self, rows, active, points, vectors, ids, best, k) -> None:
         rough = points[active] @ self.units[rows].T
-        width = min(len(rows), 2 * k + 6)
-        at = np.argpartition(-rough, width - 1, axis=1)[:, :width] if width < len(rows) else None
-        chosen = rows[at] if at is not None else np.broadcast_to(rows, (len(active), len(rows)))
-        score = cosines(vectors[active][:, None, :], self.vectors[chosen])
-        found = self.ids[chosen]
-        score = np.where(found == ids[active][:, None], -np.inf, score)
-        score = np.concatenate([best[0][active], score], axis=1)
-        found = np.concatenate([best[1][active], found], axis=1)
-        order = np.argsort(found, axis=1, kind="stable")
-        score, found = (np.take_along_axis(x, order, axis=1) for x in (score, found))
-        order = np.argsort(-score, axis=1, kind="stable")[:, :k]
-        best[0][active] = np.take_along_axis(score, order, axis=1)
-        best[1][active] = np.take_along_axis(found, order, axis=1)
+        rough[self.ids[rows] == ids[active][:, None]] = -np.inf
+        least = best[0][active, -1]
+        if k < len(rows):
+            least = np.maximum(least, -np.partition(-rough, k - 1, axis=1)[:, k - 1])
+        query, at = np.nonzero((rough >= least[:, None] - PRODUCT_EDGE) & np.isfinite(rough))
+        if not len(query):
+            return
+        asked, row = active[query], rows[at]
+        size = max(1, PRODUCTS // self.vectors.shape[1])
+        score = np.concatenate(
+            [
+                cosines(vectors[asked[i : i + size]], self.vectors[row[i : i + size]])
+                for i in range(0, len(row), size)
+            ]
+        )
+        # What was best before and what is new, by query, best first, ties to the smaller id.
+        query = np.concatenate([np.repeat(np.arange(len(active)), k), query])
+        score = np.concatenate([best[0][active].ravel(), score])
+        found = np.concatenate([best[1][active].ravel(), self.ids[row]])
+        order = np.lexsort((found, -score, query))
+        query = query[order]
+        order = order[np.arange(len(query)) - np.searchsorted(query, query) < k]
+        best[0][active] = score[order].reshape(-1, k)
+        best[1][active] = found[order].reshape(-1, k)
 
 
 def _matrices(ids: np.ndarray, vectors: pa.ListArray):

@@ -136,6 +136,26 @@ def test_nearest_vectors_are_exact_with_slack_one(spark):
     assert len(few) == 2
 
 
+@pytest.mark.parametrize("others", [0, 150, 2000])
+def test_parallel_vectors_tie_to_the_smallest_ids(monkeypatch, others):
+    monkeypatch.setattr(vantage, "PRODUCTS", 1000)
+    draw = np.random.default_rng(others)
+    base = draw.normal(size=8)
+    # Lengths are powers of two, so that cosines tie exactly; more than a leaf takes in the last case.
+    vectors = np.concatenate([[base * 2.0**i for i in range(-150, 150)], draw.normal(size=(others, 8))])
+    ids = draw.permutation(len(vectors)).astype(np.int64)
+    asked = np.concatenate([[base * 3, vectors[7]], draw.normal(size=(20, 8))])
+    keys = np.concatenate([[-1, ids[7]], -2 - np.arange(20)]).astype(np.int64)
+    score, found = vantage.Tree(vectors, ids, 6).search(asked, keys, 5, 1.0)
+    wanted = _nearest(dict(zip(ids.tolist(), vectors)), dict(zip(keys.tolist(), asked)), 5)
+    rows = [(int(q), i + 1, int(v), round(float(s), 9)) for q, a, b in zip(keys, found, score) for i, (v, s) in enumerate(zip(a, b))]
+    assert [r[3] for r in sorted(rows)] == [r[3] for r in wanted]
+    own = {int(q): [int(v) for v in a] for q, a in zip(keys, found)}
+    smallest = sorted(ids[:300].tolist())
+    assert own[-1] == smallest[:5]
+    assert own[int(ids[7])] == [i for i in smallest if i != ids[7]][:5]
+
+
 def test_licences(spark):
     texts = ["Intro. Released under the MIT License. More.", "released  under THE mit license", None, "",
              "Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0.", "the license"]
