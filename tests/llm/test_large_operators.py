@@ -176,6 +176,14 @@ def test_scores_hold_exact_counts_and_sum_to_one(spark):
     assert pitman_yor.score(_frame(spark, rows).where("false")).count() == 0
 
 
+def test_frequent_words_are_counted_in_all_texts(spark):
+    # In each task more words than any list of candidates holds are ahead of the one that leads in total.
+    rows = [(i, "common " + " ".join(f"w{i}x{n} " * 3 for n in range(5000))) for i in range(4)]
+    train = _frame(spark, rows).repartition(4, "doc_id")
+    assert pitman_yor._frequent(train)[0] == "common"
+    assert pitman_yor._frequent(train.where("false")) == []
+
+
 def test_spelling_sums_to_one():
     codes, owner = pitman_yor._codes(["the", "then", "of", "é", ""])
     code, number = np.unique(codes, return_counts=True)
