@@ -184,6 +184,14 @@ def test_frequent_words_are_counted_in_all_texts(spark):
     assert pitman_yor._frequent(train.where("false")) == []
 
 
+def test_scores_average_three_sampled_seatings_at_least():
+    import inspect
+
+    # The first sweep only starts, and is left out of the average.
+    for function in (pitman_yor.fit, pitman_yor.score):
+        assert inspect.signature(function).parameters["sweeps"].default - 1 >= 3
+
+
 def test_spelling_sums_to_one():
     codes, owner = pitman_yor._codes(["the", "then", "of", "é", ""])
     code, number = np.unique(codes, return_counts=True)
