@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodewright.llm import fingerprints, licenses, packing, pitman_yor, prefix_tree, repeats, sentence_pieces, toxicity, vantage, warc
+from lodewright.llm import (
+    cascade,
+    fingerprints,
+    lexical,
+    licenses,
+    packing,
+    pitman_yor,
+    prefix_tree,
+    repeats,
+    sentence_pieces,
+    toxicity,
+    vantage,
+    warc,
+    whitening,
+)
 from lodewright.llm.tables import documents, table
 
 
@@ -84,5 +98,23 @@ def op10_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), path)
 
 
+def op11_lexical_search(spark, folder):
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_url_filters(spark, folder):
+    pages = table(spark, folder, "pages")
+    rules = spark.createDataFrame(cascade.RULES, "host string, path string, verdict string")
+    return cascade.judge(pages, rules, cascade.listed_domains(pages, cascade.WORDS))
+
+
+def op13_embedding_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {name: value for name, value in list(globals().items()) if name.startswith("op")}
-ORACLE = {"op9_license_scan": licenses.ORACLE}
+ORACLE = {
+    "op9_license_scan": licenses.ORACLE,
+    "op11_lexical_search": lexical.ORACLE,
+    "op12_url_filters": cascade.ORACLE,
+}
