@@ -36,11 +36,16 @@ def stream_changes(
 
 
 def start_changes(
-    changes: DataFrame, path: str, keys: list[str], order_by: list[str], settings: StreamSettings
+    changes: DataFrame,
+    path: str,
+    keys: list[str],
+    order_by: list[str],
+    settings: StreamSettings,
+    log: str | None = None,
 ) -> StreamingQuery:
-    """Append each batch's last change per key below ``path``."""
+    """Append each batch's last change per key below ``path``; with a ``log``, for ``fold_new`` to go by."""
     sink = Sink(path, lambda batch: latest_changes(batch, keys, order_by))
-    return start_sinks(changes, [sink], settings)
+    return start_sinks(changes, [sink], settings, log)
 
 
 def current_rows(

@@ -6,16 +6,15 @@ from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lodewright.sinks.fanout import Sink, write_sinks
+from lodewright.sinks.fanout import BATCH, Sink, write_sinks, write_together
 from lodewright.sinks.files import TEXT_OPTIONS
 from lodewright.sources.files import BATCH_BOUNDS
 from lodewright.streaming.settings import StreamSettings
 
-BATCH = "batch_id"
-
 
 def start_copy(
     stream: DataFrame,
@@ -43,21 +42,34 @@ def follow(
     return reader.format(file_format).load(path)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The number that a stream's checkpoint gave it when it was first started."""
+    row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True)
+    return row.select(F.get_json_object("value", "$.id")).first()[0]
+
+
 def start_sinks(
-    stream: DataFrame, sinks: Sequence[Sink], settings: StreamSettings
+    stream: DataFrame, sinks: Sequence[Sink], settings: StreamSettings, log: str | None = None
 ) -> StreamingQuery:
     """Write each micro-batch to every sink.
 
-    A batch may run again after a failure, so it overwrites the folder of its own number.
+    A batch may run again after a failure, so it overwrites the folder of its own number. With a ``log`` the sinks
+    of a batch appear together (see ``fanout.read_together``), and a stream that begins anew with a new checkpoint,
+    and so counts from 0 again, writes to other folders than the one before.
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        reuse = "persist" if len(sinks) > 1 else "scan"
+        if log:
+            run = query_id(batch.sparkSession, settings.checkpoint)
+            write_together(batch, sinks, log, run, number, reuse)
+            return
         numbered = [
             replace(sink, path=f"{sink.path}/{BATCH}={number}", mode="overwrite")
             for sink in sinks
         ]
         # With one sink nothing is read twice.
-        write_sinks(batch, numbered, reuse="persist" if len(numbered) > 1 else "scan")
+        write_sinks(batch, numbered, reuse)
 
     return settings.apply(stream.writeStream.foreachBatch(write)).start()
 
