@@ -52,7 +52,7 @@ class LastChange(StatefulProcessor):
     def _rank(self, row) -> tuple:
         return tuple((row[name] is not None, row[name]) for name in self.names)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         known = self.last.get() if self.last.exists() else None
         rank = tuple((value is not None, value) for value in tuple(known)[:-1]) if known else None
         newest = None
@@ -67,10 +67,10 @@ class LastChange(StatefulProcessor):
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if newest[self.op] == DELETE:
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.keep_ms)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
         yield Row(**{name: newest[name] for name in self.columns}, **{VERSION: version})
 
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.last.clear()
         return iter(())
 
