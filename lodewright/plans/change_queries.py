@@ -96,7 +96,7 @@ def lines_numbered(spark: SparkSession, folder: str) -> DataFrame:
     ordered = lines.repartition("part").sortWithinPartitions("part", "doc_id", "pos").select("part", "value")
     ordered.write.partitionBy("part").text(f"{path}/text")
     session = spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    session.conf.set("spark.sql.files.maxPartitionBytes", "256k")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     numbered = numbered_lines(session, f"{path}/text", parts=["part"])
     rows = numbered.select(F.col("part").cast("long").alias("part"), "line_no", F.md5("value").alias("line_md5"))

@@ -10,10 +10,15 @@ from lodewright.operators.dictionary import ddl_dictionary
 from lodewright.session import shared_dir
 from lodewright.sources.files import read_scripts, table
 
+# A session setting: how many tasks the queries here deal their input rows to. Without it the scan decides, as it
+# should where tables have many row groups; one file of one row group would be one task's work.
+TASKS = "lodewright.scripts.tasks"
 
 
 def _rows(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    return table(spark, folder, name).select(*columns)
+    rows = table(spark, folder, name).select(*columns)
+    tasks = int(spark.conf.get(TASKS, "0"))
+    return rows.repartition(tasks) if tasks else rows
 
 
 _FIELDS = ["table_name", "table_comment", "field_name", "field_comment", "field_type"]
