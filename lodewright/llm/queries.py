@@ -47,8 +47,7 @@ def op4_sentence_pieces(spark, folder):
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentence_pieces.encode(table(spark, folder, "documents"), path)
-    decoded = sentence_pieces.decode(encoded, path)
+    decoded = sentence_pieces.round_trip(table(spark, folder, "documents"), path)
     return decoded.select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
 
 

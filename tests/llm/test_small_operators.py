@@ -293,3 +293,44 @@ def test_configurations_meet_any_demand():
             for n, c in taken.items():
                 met[n] += c * times
         assert (met == demand).all()
+
+
+def test_long_words_equal_the_library_and_stay_linear():
+    import time
+
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.pieces(path)
+    draw = np.random.default_rng(8)
+    letters = "".join(draw.choice([*"abcdefghijklmnopqrstuvwxyz"], 20_000))
+    for word in (letters, "日本語テ" * 300, "aaaa" * 500, letters[:257], "é😀" * 400):
+        ends, ids = model.encode([word, word[:255]])
+        assert ids.tolist() == library.encode(word) + library.encode(word[:255])
+        assert model.decode_all(ends, ids).to_pylist() == [word, word[:255]]
+    start = time.perf_counter()
+    model.encode([letters * 50])
+    assert time.perf_counter() - start < 60
+
+
+def test_long_words_have_the_best_sum_of_scores(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentence_pieces.Pieces(path)
+    model.merges = False
+    word = "theinternationalisationofthings" * 3
+    whole = model.words([word])[0]
+    monkeypatch.setattr(sentence_pieces, "LONG", 10)
+    monkeypatch.setattr(sentence_pieces, "PART", 7)
+    alone = model.words([word])[0]
+    assert model.score[alone].sum() == pytest.approx(model.score[whole].sum())
+
+
+def test_bytes_that_spell_no_text_are_replaced(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentence_pieces.pieces(path)
+    odd = [int(model.byte[b]) for b in (0xE2, 0x96)]
+    blank = [int(model.byte[b]) for b in (0xE2, 0x96, 0x81)] + odd[:1]
+    rows = [(1, odd), (2, None), (3, []), (4, blank), (5, [int(model.byte[65])])]
+    frame = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    found = {r.doc_id: (r.text, r.n_ids) for r in sentence_pieces.decode(frame, path).collect()}
+    assert found == {1: ("�", 2), 2: ("", 0), 3: ("", 0), 4: ("�", 4), 5: ("A", 1)}
