@@ -7,9 +7,11 @@ allow a link; all three only rule out what can't be one. Candidates are decided
 are stored as a prefix tree, sorted sequences of which each shares the overlap counted so far with the one
 before, and subtrees whose remaining lengths can't reach the link are passed over.
 
-Only connectivity is wanted, so no pair inside a component that is known already is looked at: a first round
-compares each class with one class of an n-gram it shares, a second one with one of the component that most
-classes of an n-gram are in, and a third one all pairs that are in different components after both.
+Only connectivity is wanted, so no pair inside a component that is known already is looked at. Rounds compare each
+class with one hub for each of its first n-grams, so candidates are no more than these: the first round's hub is one
+class of the n-gram, later ones' is one of those with the same byte of the bitmap, another byte each time, which
+sets that are alike tend to share and others don't. After that all pairs that are still in different components
+are compared.
 """
 
 from __future__ import annotations
@@ -34,8 +36,15 @@ BITS = 8
 # 2 ** FEW of all first n-grams; so there are at most 2 ** FEW frequent ones.
 SHARED = 64
 FEW = 17
-# Classes of an n-gram that meet in one task at once.
+# Classes of an n-gram that meet in one task at once, and n-grams of sets that a task compares with one set at once.
 BLOCK = 256
+BLOCK_GRAMS = 1 << 20
+# Rounds of hubs by a byte, at most; they end before if one brings less than one of FEW_LINKS of all links.
+ROUNDS = 2
+FEW_LINKS = 64
+SLICE = 2 << 20
+# Sets whose bitmaps are made at once.
+MAPPED = 1024
 PLACE_BITS = 12
 LAST_PLACE = (1 << PLACE_BITS) - 1
 FILTER_BITS = 1 << 24
@@ -94,7 +103,7 @@ def _signed(hashes: np.ndarray) -> pa.Array:
 
 def _first_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def count(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE):
             sets = shingle_sets(batch.column(0), words)
             firsts = [s[: _prefix_size(len(s), percent)] for s in sets if len(s)]
             if firsts:
@@ -115,20 +124,25 @@ def _frequent(docs: DataFrame, words: int, percent: int) -> np.ndarray:
     return np.sort(rows.column(0).to_numpy().view(np.uint64))
 
 
+def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the parities of its n-grams, dealt to 64 * BITS places."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    place = owner * (64 * BITS) + (flat % np.uint64(64 * BITS)).astype(np.int64)
+    parity = np.bincount(place, minlength=len(sets) * 64 * BITS) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, BITS)
+
+
 def _described(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
     """Each document with its set's size, digest, first n-grams in the common order, and parity bitmap."""
 
     def describe(batches):
-        for batch in slices(batches, 2):
+        for batch in slices(batches, 2, SLICE):
             sets = shingle_sets(batch.column(2), words)
             sizes = np.array([len(s) for s in sets])
             firsts = [ordered(s, frequent)[: _prefix_size(len(s), percent)] if len(s) else s for s in sets]
             keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            place = owner * (64 * BITS) + (flat % np.uint64(64 * BITS)).astype(np.int64)
-            parity = np.bincount(place, minlength=len(sets) * 64 * BITS) & 1
-            packed = np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, BITS)
+            packed = np.concatenate([_bitmaps(sets[i : i + MAPPED]) for i in range(0, len(sets), MAPPED)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -214,8 +228,11 @@ def tree_links(
 
 
 def _decided(pairs: DataFrame, sets: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked. At most BLOCK partners of a class b meet in a task at once."""
-    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))  # also splits a hot hub
+    """The pairs (a, b) that are linked. About BLOCK partners of a class b, or BLOCK_GRAMS n-grams of partners, meet in a
+    task at once; a larger set is alone."""
+    parts = pairs.groupBy("b").agg(  # also splits a hot hub
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_a") / BLOCK_GRAMS)).alias("parts")
+    )
     stored = (
         pairs.join(parts, "b")
         .select("b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"), F.col("a").alias("cid"))
@@ -298,7 +315,7 @@ def join(
     """
     docs = documents(frame, text, key)
     frequent = _frequent(docs, words, percent)
-    described = _described(docs, frequent, words, percent)
+    described = written(_described(docs, frequent, words, percent), "described")
     classes = (
         described.where("set_key is not null")
         .groupBy("set_key")
@@ -308,40 +325,44 @@ def join(
 
     # The place is kept in the number's low bits, at most LAST_PLACE: a smaller place rules out less.
     place = F.least(F.col("place"), F.lit(LAST_PLACE)).cast("long")
-    grams = classes.select("cid", F.posexplode("firsts").alias("place", "token")).select(
-        "token", F.shiftleft("cid", PLACE_BITS).bitwiseOR(place).alias("code")
+    sample = F.concat(*(F.substring(F.lpad(F.hex(name), 16, "0"), 15, 2) for name in _BIT_NAMES))
+    sample = F.conv(sample, 16, -10).cast("long")
+    grams = classes.select("cid", "n", sample.alias("sample"), F.posexplode("firsts").alias("place", "token")).select(
+        "token", "n", "sample", F.shiftleft("cid", PLACE_BITS).bitwiseOR(place).alias("code")
     )
     common = (
-        grams.groupBy("token")
-        .agg(F.count("*").alias("number"), F.min("code").alias("hub"))
-        .where("number > 1")
-        .select("token", F.shiftright("hub", PLACE_BITS).alias("hub"))
-    )
-    rows = written(
-        grams.join(common, "token").select(
-            "token",
-            F.shiftright("code", PLACE_BITS).alias("cid"),
-            F.col("code").bitwiseAND(F.lit(LAST_PLACE)).alias("place"),
-            "hub",
-        ),
-        "grams",
+        grams.groupBy("token").agg(F.count("*").alias("number"), F.min("code").alias("hub")).where("number > 1")
     )
+    rows = written(grams.join(common.select("token", "hub"), "token").select("token", "n", "sample", *_coded("code"), "hub"), "grams")
     bits = classes.select("cid", "n", *_BIT_NAMES)
 
-    # First round: each class and that hub with which it shares most of its first n-grams.
-    links = _linked(docs, classes, _best_hubs(rows.where("cid != hub"), bits, percent), frequent, words, percent)
-    # Second round: hubs of the main component of an n-gram, for its classes in other components.
-    placed, spread = _components_of(rows, components(links))
-    main = placed.join(spread.select("token", "main"), "token")
-    hubs = main.where("component = main").groupBy("token").agg(F.min("cid").alias("hub"))
-    others = main.where("component != main").join(hubs, "token")
-    more = _linked(docs, classes, _best_hubs(others, bits, percent), frequent, words, percent)
-    links = written(links.unionAll(more), "links")
+    met = rows.select("cid", "n", "place", *_coded("hub", "hub", "hub_place"))
+    links = _linked(docs, classes, _hub_pairs(met, bits, percent), frequent, words, percent)
     known = components(links)
-
-    # Third round: all pairs of n-grams whose classes are in several components still.
+    for number in range(ROUNDS):
+        kept = rows.drop("hub").join(known, "cid", "left").withColumn(
+            "byte", F.shiftright("sample", 8 * number).bitwiseAND(F.lit(255))
+        )
+        code = F.shiftleft("cid", PLACE_BITS).bitwiseOR(F.col("place"))
+        hubs = kept.groupBy("token", "byte").agg(
+            F.min(F.struct(code.alias("hub"), F.coalesce("component", "cid").alias("of"))).alias("hub"),
+            F.count("*").alias("number"),
+        )
+        others = kept.join(hubs.where("number > 1").select("token", "byte", "hub.*"), ["token", "byte"])
+        others = others.where(F.coalesce("component", "cid") != F.col("of"))
+        others = others.select("cid", "n", "place", *_coded("hub", "hub", "hub_place"))
+        more = _linked(docs, classes, _hub_pairs(others, bits, percent), frequent, words, percent)
+        new = more.count()
+        if not new:
+            break
+        links = written(links.unionAll(more), "links")
+        known = components(links)
+        if new * FEW_LINKS < links.count():
+            break
+
+    # All pairs of n-grams whose classes are in several components still.
     placed, spread = _components_of(rows, known)
-    open_rows = placed.join(spread, "token").join(bits, "cid")
+    open_rows = placed.drop("n").join(spread, "token").join(bits, "cid")
     in_main = F.col("component") == F.col("main")
     part = F.pmod(F.xxhash64("cid"), F.when(in_main, F.col("main_parts")).otherwise(F.col("other_parts")))
     open_rows = written(open_rows.withColumn("in_main", in_main).withColumn("part", part), "open")
@@ -388,14 +409,22 @@ def join(
     )
 
 
-def _best_hubs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each class and the hub it shares most n-grams with, if sizes and bitmaps allow a link."""
-    shares = rows.groupBy("cid", "hub").agg(F.count("*").alias("shared"))
-    hubs = shares.groupBy("cid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+def _coded(code: str, cid: str = "cid", place: str = "place") -> tuple[Column, Column]:
+    """The class and the place that are one number."""
+    return F.shiftright(code, PLACE_BITS).alias(cid), F.col(code).bitwiseAND(F.lit(LAST_PLACE)).alias(place)
+
+
+def _hub_pairs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes and hubs of their first n-grams, if places, sizes and bitmaps allow a link.
+
+    Of rows (cid, n, place, hub, hub_place). A set that links with one of n n-grams has at most 100 n / percent.
+    """
+    near = F.col("place") + F.col("hub_place") <= F.col("n") * (100 - percent) / percent
+    pairs = rows.where((F.col("cid") != F.col("hub")) & near).select("cid", "hub").distinct()
     x, y = bits.alias("x"), bits.withColumnRenamed("cid", "hub").alias("y")
     slack = _slack(F.col("x.n"), F.col("y.n"), percent)
     return (
-        hubs.join(x, "cid")
+        pairs.join(x, "cid")
         .join(y, "hub")
         .where((F.abs(F.col("x.n") - F.col("y.n")) <= slack) & (_parity("x", "y") <= slack))
         .select(F.col("cid").alias("a"), F.col("hub").alias("b"))
@@ -405,7 +434,7 @@ def _best_hubs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 def _components_of(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with their classes' components, and the n-grams whose classes are in several: with the component
     that most are in, and the blocks that it and the others make."""
-    placed = rows.select("token", "cid", "place").join(known, "cid", "left")
+    placed = rows.select("token", "cid", "n", "place").join(known, "cid", "left")
     placed = placed.withColumn("component", F.coalesce("component", "cid"))
     spread = (
         placed.groupBy("token", "component")
@@ -465,12 +494,12 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             )
             apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
             both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            yield batch.filter(pa.array(apart * (100 + percent) <= both * (100 - percent))).select(["a", "b"])
+            yield batch.filter(pa.array(apart * (100 + percent) <= both * (100 - percent))).select(["a", "b", "n_a"])
 
     wide = sets.mapInArrow(describe, "cid long, n long, bits binary")
     one, two = (wide.toDF(name, f"n_{name}", f"bits_{name}") for name in ("a", "b"))
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    return joined.mapInArrow(passed, "a long, b long")
+    return joined.mapInArrow(passed, "a long, b long, n_a long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -505,7 +534,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     texts = near.join(wanted, "text_key").groupBy("cid").agg(F.first("text").alias("text"))
 
     def collect(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             sets = shingle_sets(batch.column(1), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "grams"]
