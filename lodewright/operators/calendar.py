@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodewright.functions.dates import iso_weekday, week_of_year
@@ -95,3 +96,75 @@ def classify_by_calendar(
     return lookup_join(
         facts.withColumn(key, F.to_date(timestamp)), days, key, max_rows=max_days
     ).drop(key)
+
+
+def workday_index(calendar: DataFrame) -> DataFrame:
+    """One row for a calendar without gaps: its ``first`` day, how many workdays there are up to each day (``done``), how
+    many days of unknown kind (``unknown``), and the ``workdays`` themselves in order."""
+    until = Window.orderBy("date")
+    days = calendar.select(
+        "date",
+        "is_workday",
+        F.sum(F.coalesce("is_workday", F.lit(0))).over(until).cast("int").alias("done"),
+        F.sum(F.col("is_workday").isNull().cast("int")).over(until).cast("int").alias("unknown"),
+    )
+    rows = days.agg(
+        F.min("date").alias("first"),
+        F.array_sort(F.collect_list(F.struct("date", "done", "unknown"))).alias("days"),
+        F.array_sort(F.collect_list(F.when(F.col("is_workday") == 1, F.col("date")))).alias("workdays"),
+    )
+    return rows.select("first", F.col("days.done").alias("done"), F.col("days.unknown").alias("unknown"), "workdays")
+
+
+class Workdays:
+    """Looks days up in the row of a ``workday_index`` that stands beside each fact; see ``with_workdays``.
+
+    Results are NULL for days outside the calendar, and where a day of unknown kind lies between.
+    """
+
+    def __init__(self, row: str):
+        self.index = {name: F.col(f"{row}.{name}") for name in ("first", "done", "unknown", "workdays")}
+
+    def _place(self, day: Column) -> Column:
+        """The day's place in the arrays, from 1; NULL outside."""
+        place = F.datediff(day, self.index["first"]) + 1
+        return F.when((place >= 1) & (place <= F.size(self.index["done"])), place)
+
+    def _at(self, name: str, place: Column) -> Column:
+        return F.try_element_at(self.index[name], place)
+
+    def between(self, start: Column, end: Column) -> Column:
+        """How many workdays lie after ``start`` up to ``end``; negative if ``end`` is before."""
+        one, two = self._place(start), self._place(end)
+        same = self._at("unknown", one) == self._at("unknown", two)
+        return F.when(same, self._at("done", two) - self._at("done", one))
+
+    def after(self, day: Column, number: Column | int) -> Column:
+        """The ``number``-th workday after the day, before it if negative; for 0 the day, or the next workday."""
+        number = number if isinstance(number, Column) else F.lit(number)
+        place = self._place(day)
+        done = self._at("done", place)
+        before = F.coalesce(self._at("done", F.when(place > 1, place - 1)), F.lit(0))
+        wanted = (
+            F.when(number > 0, done + number)
+            .when(number < 0, before + 1 + number)
+            .otherwise(before + 1)
+        )
+        found = F.when(place.isNotNull() & (wanted >= 1), self._at("workdays", F.when(wanted >= 1, wanted)))
+        same = self._at("unknown", self._place(found)) == self._at("unknown", place)
+        return F.when(same, found)
+
+
+def with_workdays(
+    facts: DataFrame, index: DataFrame, columns: Mapping[str, Callable[[Workdays], Column]]
+) -> DataFrame:
+    """The facts with columns that are made of ``Workdays``.
+
+    The index is one row, as long as the calendar has days, and goes to every task; facts are not moved, and
+    nothing is joined by day.
+    """
+    row = "_workdays"
+    one = F.broadcast(index.select(F.struct("first", "done", "unknown", "workdays").alias(row)))
+    days = Workdays(row)
+    made = [column(days).alias(name) for name, column in columns.items()]
+    return facts.join(one).select(*(F.col(name) for name in facts.columns), *made)

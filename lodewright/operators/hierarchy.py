@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,3 +64,41 @@ def flatten_hierarchy(
         "id",
         "name",
     ).orderBy("id", "name")
+
+
+def flatten_levels(
+    leaves: DataFrame, groups: DataFrame, digits: Sequence[int], code_digits: int
+) -> DataFrame:
+    """``leaves(id, name)`` with the groups they are in, for codes of any depth.
+
+    A group of level n is a code whose first ``digits[n - 1]`` digits are its own and the rest zeros, a row of
+    ``groups(id, name)``. Each leaf gets, for each level, ``code_n``, its own digits followed by zeros, ``name_n`` and
+    ``has_n``, which tells whether that group has a row; where it has none the name is that of the nearest group
+    above that has one, and NULL where there is none. A leaf whose digits of a level are zeros is in no group of
+    that level, as its code there is that of the level above. Leaves are read once and each counts once; their groups
+    are found by one join over all levels, and gathered by an aggregate that is reduced before the shuffle.
+    """
+    levels = F.array(
+        *(
+            F.struct(
+                F.lit(n).alias("level"),
+                F.rpad(prefix("id", size), code_digits, "0").alias("code"),
+                F.substring("id", above + 1, size - above).rlike("[^0]").alias("inside"),
+            )
+            for n, (above, size) in enumerate(zip([0, *digits], digits), 1)
+        )
+    )
+    asked = leaves.select("id", "name", F.explode(levels).alias("at")).select("id", "name", "at.*")
+    named = groups.select(F.col("id").alias("code"), F.col("name").alias("group_name"), F.lit(True).alias("found"))
+    placed = lookup_join(asked, named, "code")
+    columns = []
+    for n in range(1, len(digits) + 1):
+        own = F.col("level") == n
+        known = F.col("found") & F.col("inside") & (F.col("level") <= n)
+        columns += [
+            F.max(F.when(own, F.col("code"))).alias(f"code_{n}"),
+            # max_by passes over rows whose level is NULL.
+            F.max_by("group_name", F.when(known, F.col("level"))).alias(f"name_{n}"),
+            F.coalesce(F.max(F.when(own, F.col("found") & F.col("inside"))), F.lit(False)).alias(f"has_{n}"),
+        ]
+    return placed.groupBy("id", "name").agg(*columns)

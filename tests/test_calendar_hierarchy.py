@@ -99,3 +99,78 @@ def test_xtrim(spark):
     assert [row[0] for row in rows.selectExpr("xtrim(s)").collect()] == wanted
     numbers = spark.sql("SELECT * FROM VALUES (0), (12) AS n(n)").select(xtrim("n", numeric=True))
     assert [row[0] for row in numbers.collect()] == [None, "12"]
+
+
+def test_workdays_between_and_after_any_day(spark):
+    import random
+    from datetime import date, timedelta
+
+    from pyspark.sql import functions as F
+
+    from lodewright.operators.calendar import date_span, with_workdays, workday_calendar, workday_index
+
+    # The end of the last known year and the beginning of one whose kinds of days aren't known.
+    calendar = workday_calendar(date_span(spark, date(2024, 9, 1), date(2025, 2, 1)))
+    known = {r["date"]: r["is_workday"] for r in calendar.collect()}
+    days = sorted(known)
+
+    def between(a, b):
+        low, high = min(a, b), max(a, b)
+        inside = [known.get(low + timedelta(i)) for i in range(1, (high - low).days + 1)]
+        ends = known.get(low, "out") != "out" and known.get(high, "out") != "out"
+        if not ends or None in inside:
+            return None
+        return sum(inside) if b >= a else -sum(inside)
+
+    def after(a, n):
+        if a not in known:
+            return None
+        step, day, left = (1 if n >= 0 else -1), a, abs(n)
+        if n == 0:
+            left, day = 1, a - timedelta(1)
+        while left:
+            day += timedelta(step)
+            if known.get(day) is None:
+                return None
+            left -= known[day]
+        return day
+
+    chance = random.Random(4)
+    outside = [days[0] - timedelta(3), days[-1] + timedelta(2), None]
+    rows = [(i, chance.choice(days + outside[:2]), chance.choice(days + outside), chance.randint(-30, 30)) for i in range(600)]
+    rows += [(1000 + i, day, days[0], 0) for i, day in enumerate(days)]
+    facts = spark.createDataFrame(rows, "id int, a date, b date, n int")
+    found = with_workdays(
+        facts,
+        workday_index(calendar),
+        {"between": lambda w: w.between(F.col("a"), F.col("b")), "after": lambda w: w.after(F.col("a"), F.col("n"))},
+    )
+    by = {r.id: (r.between, r.after) for r in found.collect()}
+    for i, a, b, n in rows:
+        if known.get(a, 0) is None or (b is not None and known.get(b, 0) is None):
+            continue  # days of unknown kind themselves: their neighbours are looked at in the other cases
+        assert by[i] == (between(a, b) if b else None, after(a, n)), (a, b, n)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
+def test_levels_take_the_nearest_group_that_has_a_row(spark):
+    from lodewright.operators.hierarchy import flatten_levels
+
+    groups = spark.createDataFrame(
+        [("100000", "one"), ("120000", "one-two"), ("121300", "deep"), ("200000", None), ("310000", "low")], "id string, name string"
+    )
+    leaves = spark.createDataFrame(
+        [("121314", "a"), ("120014", "b"), ("111314", "c"), ("211314", "d"), ("311314", "e"), ("411314", "f"), (None, "g"), ("121314", "a")],
+        "id string, name string",
+    )
+    rows = {r.name: r for r in flatten_levels(leaves, groups, [1, 2, 4], 6).collect()}
+    assert len(rows) == 7
+    shown = {name: [(r[f"name_{n}"], r[f"has_{n}"]) for n in (1, 2, 3)] for name, r in rows.items()}
+    assert shown["a"] == [("one", True), ("one-two", True), ("deep", True)]
+    assert shown["b"] == [("one", True), ("one-two", True), ("one-two", False)]
+    assert shown["c"] == [("one", True), ("one", False), ("one", False)]
+    assert shown["d"] == [(None, True), (None, False), (None, False)]
+    assert shown["e"] == [(None, False), ("low", True), ("low", False)]
+    assert shown["f"] == shown["g"] == [(None, False)] * 3
+    assert (rows["a"].code_1, rows["a"].code_2, rows["a"].code_3) == ("100000", "120000", "121300")
