@@ -261,3 +261,23 @@ def test_toxic_texts_are_found_and_clean_ones_left(spark):
     none = toxicity.toxicity(_frame(spark, rows), marks.where("toxic = 0"), ["doc_id"])
     assert none.select("score").distinct().count() == 1
     assert toxicity.toxicity(_frame(spark, rows).where("false"), marks, ["doc_id"]).count() == 0
+
+
+def test_scores_survive_another_split_size(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(1, 200))) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 20_000).parquet(path)
+    sizes = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = [spark.conf.get(name) for name in sizes]
+    try:
+        found = pitman_yor.score(spark.read.parquet(path))
+        wanted = {r.doc_id: r.base_score for r in found.collect()}
+        for name in sizes:
+            spark.conf.set(name, "7k")
+        again = pitman_yor.score(spark.read.parquet(path))
+        for name, value in zip(sizes, before):
+            spark.conf.set(name, value)
+        assert {r.doc_id: pytest.approx(r.base_score) for r in again.collect()} == wanted
+    finally:
+        for name, value in zip(sizes, before):
+            spark.conf.set(name, value)
