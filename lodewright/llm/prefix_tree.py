@@ -46,6 +46,7 @@ SLICE = 2 << 20
 # Sets whose bitmaps are made at once.
 MAPPED = 1024
 PLACE_BITS = 12
+CLASS_BITS = 63 - PLACE_BITS
 LAST_PLACE = (1 << PLACE_BITS) - 1
 FILTER_BITS = 1 << 24
 WIDE_BITS = 1 << 13
@@ -323,12 +324,12 @@ def join(
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    # The place is kept in the number's low bits, at most LAST_PLACE: a smaller place rules out less.
+    # The place is kept in the number's high bits, at most LAST_PLACE: a smaller place rules out less.
     place = F.least(F.col("place"), F.lit(LAST_PLACE)).cast("long")
     sample = F.concat(*(F.substring(F.lpad(F.hex(name), 16, "0"), 15, 2) for name in _BIT_NAMES))
     sample = F.conv(sample, 16, -10).cast("long")
     grams = classes.select("cid", "n", sample.alias("sample"), F.posexplode("firsts").alias("place", "token")).select(
-        "token", "n", "sample", F.shiftleft("cid", PLACE_BITS).bitwiseOR(place).alias("code")
+        "token", "n", "sample", F.shiftleft(place, CLASS_BITS).bitwiseOR(F.col("cid")).alias("code")
     )
     common = (
         grams.groupBy("token").agg(F.count("*").alias("number"), F.min("code").alias("hub")).where("number > 1")
@@ -343,7 +344,7 @@ def join(
         kept = rows.drop("hub").join(known, "cid", "left").withColumn(
             "byte", F.shiftright("sample", 8 * number).bitwiseAND(F.lit(255))
         )
-        code = F.shiftleft("cid", PLACE_BITS).bitwiseOR(F.col("place"))
+        code = F.shiftleft("place", CLASS_BITS).bitwiseOR(F.col("cid"))
         hubs = kept.groupBy("token", "byte").agg(
             F.min(F.struct(code.alias("hub"), F.coalesce("component", "cid").alias("of"))).alias("hub"),
             F.count("*").alias("number"),
@@ -410,8 +411,9 @@ def join(
 
 
 def _coded(code: str, cid: str = "cid", place: str = "place") -> tuple[Column, Column]:
-    """The class and the place that are one number."""
-    return F.shiftright(code, PLACE_BITS).alias(cid), F.col(code).bitwiseAND(F.lit(LAST_PLACE)).alias(place)
+    """The class and the place that are one number. The least one has the first place: most others may link with it."""
+    number = F.col(code).bitwiseAND(F.lit((1 << CLASS_BITS) - 1))
+    return number.alias(cid), F.shiftright(code, CLASS_BITS).alias(place)
 
 
 def _hub_pairs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
