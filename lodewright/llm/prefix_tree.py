@@ -11,7 +11,7 @@ Only connectivity is wanted, so no pair inside a component that is known already
 class with one hub for each of its first n-grams, so candidates are no more than these: the first round's hub is one
 class of the n-gram, later ones' is one of those with the same byte of the bitmap, another byte each time, which
 sets that are alike tend to share and others don't. After that all pairs that are still in different components
-are compared.
+are compared, each at the first n-gram that they share or soon after it.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ MAPPED = 1024
 PLACE_BITS = 12
 CLASS_BITS = 63 - PLACE_BITS
 LAST_PLACE = (1 << PLACE_BITS) - 1
+# First n-grams before one that a row of the last comparison carries along.
+BEFORE = 8
 FILTER_BITS = 1 << 24
 WIDE_BITS = 1 << 13
 
@@ -363,11 +365,12 @@ def join(
 
     # All pairs of n-grams whose classes are in several components still.
     placed, spread = _components_of(rows, known)
-    open_rows = placed.drop("n").join(spread, "token").join(bits, "cid")
+    open_rows = placed.drop("n").join(spread, "token").join(classes.select("cid", "n", *_BIT_NAMES, "firsts"), "cid")
+    open_rows = open_rows.withColumn("before", _before()).drop("firsts")
     in_main = F.col("component") == F.col("main")
     part = F.pmod(F.xxhash64("cid"), F.when(in_main, F.col("main_parts")).otherwise(F.col("other_parts")))
     open_rows = written(open_rows.withColumn("in_main", in_main).withColumn("part", part), "open")
-    kept = ["token", "cid", "n", "place", "component", *_BIT_NAMES]
+    kept = ["token", "cid", "n", "place", "component", "before", *_BIT_NAMES]
     # Every block of other classes meets each block of the main component and each block of others once.
     others = open_rows.where("not in_main")
     left = others.select(*kept, F.col("part").alias("i"), F.explode(
@@ -391,7 +394,8 @@ def join(
         & (F.col("x.component") != F.col("y.component"))
         & (F.abs(F.col("x.n") - F.col("y.n")) <= slack)
         & (F.col("x.place") + F.col("y.place") <= slack)
-        & (_parity("x", "y") <= slack),
+        & (_parity("x", "y") <= slack)
+        & ~F.arrays_overlap("x.before", "y.before"),  # they met at that n-gram
     )
     second = met.select(
         F.greatest("x.cid", "y.cid").alias("a"), F.least("x.cid", "y.cid").alias("b")
@@ -410,6 +414,16 @@ def join(
     )
 
 
+def _before() -> Column:
+    """Up to BEFORE of the first n-grams before a row's, in the order of all sets.
+
+    A pair that shares one of them shares an earlier n-gram, and so meets there or earlier still; none is lost, as
+    nothing is before the first n-gram that both share. Places that the row doesn't know exactly have nothing before.
+    """
+    place = F.when(F.col("place") < LAST_PLACE, F.col("place")).otherwise(F.lit(0)).cast("int")
+    return F.slice("firsts", F.greatest(place - BEFORE, F.lit(0)) + 1, F.least(place, F.lit(BEFORE)))
+
+
 def _coded(code: str, cid: str = "cid", place: str = "place") -> tuple[Column, Column]:
     """The class and the place that are one number. The least one has the first place: most others may link with it."""
     number = F.col(code).bitwiseAND(F.lit((1 << CLASS_BITS) - 1))
