@@ -1,18 +1,16 @@
 """Reading SQL script text: statements, comments, variables, templates and statement kinds.
 
 Splitting and comment removal know string literals, quoted names, line comments and nested block
-comments, by Spark's own regular expressions. Those read comments nested up to ``NATIVE_DEPTH``
-levels; in the rare texts that may nest deeper, a vectorised Python function first marks the inner
-ends of comments, and the marks are turned back at the end. Every repetition is possessive, so a
-long text takes linear time and no deep stack.
+comments, by Spark's own expressions. The patterns read comments nested up to ``NATIVE_DEPTH``
+levels; in the rare texts that may nest deeper, a depth that is folded over their tokens first marks
+the inner ends of comments, and the marks are turned back at the end. Every repetition is possessive,
+so a long text takes linear time and no deep stack.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from functools import cache
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,43 +70,80 @@ _UNREADABLE = rf"\A(?:[^-'\"`/]++|{QUOTED}|{_LINE_COMMENT}|{_SINGLE}|{_BLOCK})*+
 _MARK = "\ue000"
 
 
-@cache
-def _with_marked_comments() -> Callable[[Column], Column]:
-    # Nested, and closing over plain strings, so that Spark ships the function whole and
-    # executors need no copy of this package.
-    outside = f"{QUOTED}|{_LINE_COMMENT}|/\\*|['\"`][\\s\\S]*+"
-    mark = _MARK
-
-    def mark_comments(texts: pd.Series) -> pd.Series:
-        import re
+# What a mark may depend on; all else comes in runs.
+_TOKEN = r"[/*'\"`\\\r\n-]|[^/*'\"`\\\r\n-]++"
+# Tokens that are read into one string, before it is put aside: strings grow in small steps only.
+_TOKEN_BLOCK = rf"(?:{_TOKEN}){{1,64}}+"
+# What the reader of tokens is in: code, a comment (its depth), or one of these.
+_IN_SINGLE, _IN_DOUBLE, _IN_BACK, _IN_LINE_COMMENT = -1, -2, -3, -4
+
+
+def _next(state: Column, token: Column) -> Column:
+    """The state ``(depth, held, out)`` behind a token. ``held`` is a character that may be half of a mark."""
+    depth, held = state["depth"], state["held"]
+    code, block = depth == 0, depth > 0
+    opens = (code | block) & (held == F.lit("/")) & (token == F.lit("*"))
+    closes = block & (held == F.lit("*")) & (token == F.lit("/"))
+    to_line = code & (held == F.lit("-")) & (token == F.lit("-"))
+    escapes = depth.isin(_IN_SINGLE, _IN_DOUBLE) & (held == F.lit("\\"))
+    ends = (
+        ((depth == _IN_SINGLE) & (token == F.lit("'")))
+        | ((depth == _IN_DOUBLE) & (token == F.lit('"')))
+        | ((depth == _IN_BACK) & (token == F.lit("`")))
+    )
+    after = (
+        F.when(opens, depth + 1)
+        .when(closes, depth - 1)
+        .when(to_line, F.lit(_IN_LINE_COMMENT))
+        .when(code & (token == F.lit("'")), F.lit(_IN_SINGLE))
+        .when(code & (token == F.lit('"')), F.lit(_IN_DOUBLE))
+        .when(code & (token == F.lit("`")), F.lit(_IN_BACK))
+        .when(ends & ~escapes, F.lit(0))
+        .when((depth == _IN_LINE_COMMENT) & token.isin("\r", "\n"), F.lit(0))
+        .otherwise(depth)
+    )
+    whole = opens | closes | to_line | escapes
+    waits = ~whole & (
+        (code & token.isin("/", "-"))
+        | (block & token.isin("/", "*"))
+        | (depth.isin(_IN_SINGLE, _IN_DOUBLE) & (token == F.lit("\\")))
+    )
+    read = (
+        F.when(opens & block, F.lit(_MARK + "a"))
+        .when(closes & (depth > 1), F.lit(_MARK + "b"))
+        .when(waits, held)
+        .otherwise(F.concat(held, token))
+    )
+    return F.struct(
+        after.cast("int").alias("depth"),
+        F.when(waits, token).otherwise(F.lit("")).alias("held"),
+        F.concat(state["out"], read).alias("out"),
+    )
 
-        outer, inner = re.compile(outside), re.compile(r"/\*|\*/")
 
-        def marked(text: str) -> str:
-            text = text.replace(mark, mark + "c")
-            pieces, at, depth = [], 0, 0
-            while match := (inner if depth else outer).search(text, at):
-                token = match.group()
-                if token == "/*":
-                    depth += 1
-                    token = mark + "a" if depth > 1 else token
-                elif depth:
-                    depth -= 1
-                    token = mark + "b" if depth else token
-                pieces += text[at : match.start()], token
-                at = match.end()
-            return "".join(pieces) + text[at:]
+def _with_marked_comments(text: Column) -> Column:
+    """The text with its inner comment ends marked, however deep: a depth folded over its tokens, block by block."""
+    blocks = F.regexp_extract_all(F.replace(text, F.lit(_MARK), F.lit(_MARK + "c")), F.lit(_TOKEN_BLOCK), F.lit(0))
+    none = F.array().cast("array<string>")
 
-        return texts.map(marked, na_action="ignore")
+    def read_block(so_far: Column, block: Column) -> Column:
+        begin = F.struct(so_far["depth"].alias("depth"), so_far["held"].alias("held"), F.lit("").alias("out"))
+        read = F.aggregate(F.regexp_extract_all(block, F.lit(_TOKEN), F.lit(0)), begin, _next)
+        return F.struct(
+            read["depth"].alias("depth"),
+            read["held"].alias("held"),
+            F.array_append(so_far["outs"], read["out"]).alias("outs"),
+        )
 
-    return F.pandas_udf(mark_comments, "string")
+    begin = F.struct(F.lit(0).alias("depth"), F.lit("").alias("held"), none.alias("outs"))
+    return F.aggregate(blocks, begin, read_block, lambda end: F.concat(F.array_join(end["outs"], ""), end["held"]))
 
 
 def marked(text: Column) -> Column:
     """The text of a script with its comments marked so that the functions below can read it."""
     unreadable = text.contains("/*") & text.rlike(_UNREADABLE)
-    deep = _with_marked_comments()(F.when(unreadable, text))
-    return F.coalesce(deep, F.replace(text, F.lit(_MARK), F.lit(_MARK + "c")))
+    plain = F.replace(text, F.lit(_MARK), F.lit(_MARK + "c"))
+    return F.when(unreadable, _with_marked_comments(text)).otherwise(plain)
 
 
 def _unmarked(text: Column) -> Column:

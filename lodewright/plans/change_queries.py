@@ -15,8 +15,9 @@ from lodewright.sources.files import stream_table, table
 from lodewright.sources.lines import numbered_lines
 from lodewright.streaming.changes import start_changes, stream_changes
 from lodewright.streaming.folded import fold_new, folded_rows
-from lodewright.streaming.jobs import follow, start_copy, start_sinks
+from lodewright.streaming.jobs import follow, read_sink, start_copy, start_sinks
 from lodewright.streaming.keyed import VERSION, keyed_changes, state_session
+from lodewright.streaming.restart import check_restart, left_out
 from lodewright.streaming.settings import StreamSettings
 
 _KEYS, _ORDER = ["id"], ["ts", "seq"]
@@ -56,6 +57,29 @@ def changes_folded(spark: SparkSession, folder: str) -> DataFrame:
     return folded_rows(spark, f"{path}/table", events.schema).select("id", "name", "amount", "seq")
 
 
+def stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of events to two sinks, started again with one sink less when half of the events are through."""
+    path, schema = shared_dir(spark, "restarted"), "event_id bigint, event_type string"
+    buys = Sink(f"{path}/buys", lambda rows: rows.where("event_type = 'purchase'").select("event_id"))
+    others = Sink(f"{path}/others", lambda rows: rows.where("event_type <> 'purchase'").select("event_id"))
+    settings = StreamSettings(f"{path}/checkpoint")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for part, sinks in ((0, [buys, others]), (1, [buys])):
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{path}/files")
+        check_restart(spark, settings.checkpoint, sources=1, operators=[])
+        start_sinks(follow(spark, f"{path}/files", schema, "parquet"), sinks, settings).awaitTermination()
+    report = left_out(spark, settings.checkpoint, [buys.path, others.path], [buys.path])
+    rows = [
+        read_sink(spark, sink.path, "event_id bigint").withColumn("path", F.lit(sink.path)) for sink in (buys, others)
+    ]
+    return rows[0].unionAll(rows[1]).join(report, "path").select(
+        "event_id",
+        F.element_at(F.split("path", "/"), -1).alias("sink"),
+        "change",
+        (F.col("finished_batch") - F.col("last_batch")).alias("batches_missed"),
+    )
+
+
 def fanout_together(spark: SparkSession, folder: str) -> DataFrame:
     """One stream of events to two sinks that appear together, read by their log."""
     path = shared_dir(spark, "together")
@@ -108,6 +132,7 @@ def lines_numbered(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "changes_keyed": changes_keyed,
     "changes_folded": changes_folded,
+    "stream_restarted": stream_restarted,
     "fanout_together": fanout_together,
     "days_compacted": days_compacted,
     "lines_numbered": lines_numbered,
@@ -116,6 +141,12 @@ QUERIES = {
 ORACLE = {
     "changes_keyed": STREAMS["changes_streamed"],
     "changes_folded": STREAMS["changes_streamed"],
+    "stream_restarted": """
+SELECT event_id, 'buys' AS sink, 'kept' AS change, CAST(0 AS BIGINT) AS batches_missed
+FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT event_id, 'others', 'dropped', CAST(1 AS BIGINT)
+FROM events WHERE event_type <> 'purchase' AND event_id % 2 = 0""",
     "fanout_together": STREAMS["fanout_stream"],
     "days_compacted": """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props,

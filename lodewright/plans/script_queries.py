@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodewright.operators import scripts
 from lodewright.operators.dictionary import ddl_dictionary
+from lodewright.operators.templates import render_from_table, resolve_variables
 from lodewright.session import shared_dir
 from lodewright.sources.files import read_scripts, table
 
@@ -110,6 +111,29 @@ def templates_rendered(spark: SparkSession, folder: str) -> DataFrame:
     return scripts.render_templates(messages, {"n": "7", "who": "nobody"})
 
 
+def templates_from_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Variables that are rows and name one another; a region that names itself keeps its suppliers' names unknown."""
+
+    def named(name: str, letter: str, key: str, *value: str | Column) -> DataFrame:
+        rows = table(spark, folder, name)
+        return rows.select(_joined(letter, F.col(key).cast("string")).alias("k"), _joined(*value).alias("v"))
+
+    nation, region = F.col("s_nationkey").cast("string"), F.col("n_regionkey").cast("string")
+    itself = F.when(F.col("r_regionkey") == 0, F.lit(" ${r0}")).otherwise(F.lit(""))
+    variables = (
+        named("part", "p", "p_partkey", F.col("p_name"))
+        .unionAll(named("supplier", "s", "s_suppkey", F.col("s_name"), " of ${n", nation, "}"))
+        .unionAll(named("nation", "n", "n_nationkey", F.col("n_name"), " in ${r", region, "}"))
+        .unionAll(named("region", "r", "r_regionkey", F.col("r_name"), itself))
+    )
+    part, supplier = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    script = _joined("select '${p", part, "}', '${s", supplier, "}', $1, '${missing}';")
+    lines = _rows(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select(
+        "l_orderkey", "l_linenumber", script.alias("text")
+    )
+    return render_from_table(lines, resolve_variables(variables), key="l_orderkey")
+
+
 def comments_stripped(spark: SparkSession, folder: str) -> DataFrame:
     """Line comments and whole-line blocks go; hints, inline blocks and literals stay."""
     script = _joined(
@@ -199,6 +223,7 @@ QUERIES = {
     "split_simple_documents": split_simple_documents,
     "variables_extracted": variables_extracted,
     "templates_rendered": templates_rendered,
+    "templates_from_table": templates_from_table,
     "comments_stripped": comments_stripped,
     "statements_classified": statements_classified,
     "statement_sets_unwrapped": statement_sets_unwrapped,
@@ -280,6 +305,17 @@ SELECT conv_id, turn,
        || chr(10) || '/* ' || replace(replace(text, '${who}', role), '${n}', '7') || ' ' || role
        || ' */' AS text
 FROM conversations""",
+    "templates_from_table": """
+SELECT l_orderkey, l_linenumber,
+       'select ''' || coalesce(p_name, '${p' || l_partkey || '}') || ''', '''
+       || CASE WHEN r_regionkey IS NULL OR r_regionkey = 0 THEN '${s' || l_suppkey || '}'
+               ELSE s_name || ' of ' || n_name || ' in ' || r_name END
+       || ''', $1, ''${missing}'';' AS text
+FROM lineitem
+LEFT JOIN part ON p_partkey = l_partkey
+LEFT JOIN supplier ON s_suppkey = l_suppkey
+LEFT JOIN nation ON n_nationkey = s_nationkey
+LEFT JOIN region ON r_regionkey = n_regionkey""",
     "comments_stripped": """
 WITH stripped AS (
     SELECT doc_id, 'select /*+ coalesce(1) */ ''' || replace(replace(text, chr(92),

@@ -5,7 +5,9 @@ import time
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from lodewright.functions import script_text
 from lodewright.operators import scripts
 from lodewright.operators.dictionary import HEADINGS, ddl_dictionary, dictionary_file
 
@@ -74,6 +76,47 @@ def test_many_touching_comments_take_linear_time(spark):
     assert time.perf_counter() - began < 10
 
 
+def _marked_plainly(text):
+    """Inner comment ends marked, one character after the other."""
+    out, at, depth, quote = "", 0, 0, ""
+    while at < len(text):
+        two = text[at : at + 2]
+        if quote:
+            step = 2 if quote in "'\"" and text[at] == "\\" else 1
+            if (text[at] in "\r\n") if quote == "-" else (text[at] == quote):
+                quote = ""
+            out, at = out + text[at : at + step], at + step
+        elif two == "/*":
+            out, at, depth = out + ("\ue000a" if depth else two), at + 2, depth + 1
+        elif two == "*/" and depth:
+            out, at, depth = out + ("\ue000b" if depth > 1 else two), at + 2, depth - 1
+        elif two == "--" and not depth:
+            out, at, quote = out + two, at + 2, "-"
+        else:
+            if text[at] in "'\"`" and not depth:
+                quote = text[at]
+            out, at = out + text[at], at + 1
+    return out
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(["/*", "*/", "/", "*", "-", "'", '"', "`", "\\", "\n", "x y", ";"]), max_size=150)
+                .map("".join), min_size=20, max_size=20))
+def test_comments_are_marked_at_any_depth(spark, texts):
+    texts = [*texts, "/*" * 200 + " ' " + "*/" * 200 + "'/*'", "/*" * 7 + "*/" * 9]
+    frame = _frame(spark, *texts).select("text", script_text._with_marked_comments(F.col("text")).alias("marked"))
+    for row in frame.collect():
+        assert row.marked == _marked_plainly(row.text)
+
+
+def test_deep_comments_take_linear_time(spark):
+    text = "select 1;" + "/*" * 50_000 + ";" + "*/" * 50_000 + "; select '/*" * 2 + " x'/*a'*/" * 50_000
+    began = time.perf_counter()
+    rows = _split(spark, text)
+    assert [row[2] for row in rows][0] == "select 1"
+    assert time.perf_counter() - began < 20
+
+
 def test_malformed_scripts_are_kept_and_marked(spark):
     assert _split(spark, "a; 'b; c", "/* a; /* b */ c", "a */ b", "", None, "a; b", '"') == [
         (0, 0, "a", True), (0, 1, "'b; c", True),
