@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lodewright.functions.text import SPACE, collapse_spaces, lines, strip
 
-NATIVE_DEPTH = 4
+NATIVE_DEPTH = 12
 
 # A literal may hold backslash escapes; a doubled quote reads as two literals side by side.
 SINGLE_QUOTED = r"'(?:[^'\\]++|\\[\s\S])*+'"

@@ -61,7 +61,7 @@ def split_statements_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_statements_nested(spark: SparkSession, folder: str) -> DataFrame:
-    """Comments nested deeper than the native patterns read, three statements per event."""
+    """Comments nested five deep, three statements per event."""
     script = _joined(
         "select ", F.col("event_id").cast("string"), " /* 1 /* 2 /* 3 /* 4 /* 5 ; */ */ */ */ it's */;",
         "\n-- only a comment;\nselect '", F.col("event_type"), ";/*' as kind ;select /* /* x; */ */ '",
