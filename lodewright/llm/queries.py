@@ -32,6 +32,7 @@ def op1_warc(spark, folder):
         warc.page_of("refers_to").alias("refers_to"),
         F.col("target_uri").alias("url"),
         F.col("offset").alias("archive_offset"),
+        "error",
     )
 
 

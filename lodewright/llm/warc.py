@@ -33,7 +33,7 @@ ARCHIVE_BYTES = 1 << 30
 
 RECORDS = (
     "path string, offset long, record_type string, record_id string, refers_to string, target_uri string, "
-    "payload_digest string, payload_bytes long, payload binary"
+    "payload_digest string, payload_bytes long, payload binary, error string"
 )
 
 
@@ -156,20 +156,32 @@ def _header(window: _Window, offset: int) -> bool:
         return False
 
 
-def _member(window: _Window, offset: int) -> tuple[bytes, int]:
-    """The content of the member at the offset, and where it ends."""
-    unpack, parts = zlib.decompressobj(31), []
+def _member(window: _Window, first: int) -> tuple[bytes, int, str | None]:
+    """The content of the member at ``first``, where it ends, and what is wrong with it.
+
+    Of a damaged one there is the content up to the damage; it ends behind its first byte, so that a record that
+    begins inside is looked for too.
+    """
+    unpack, parts, offset = zlib.decompressobj(31), [], first
     while not unpack.eof:
         data = window.at(offset, READ_BYTES)
         if not data:
-            raise EOFError(f"a record is cut off at byte {offset}")
-        parts.append(unpack.decompress(data))
+            return b"".join(parts), first + 1, "cut off"
+        try:
+            parts.append(unpack.decompress(data))
+        except zlib.error:
+            return b"".join(parts), first + 1, "damaged member"
         offset += len(data) - len(unpack.unused_data)
-    return b"".join(parts), offset
+    return b"".join(parts), offset, None
 
 
 def members(file, begin: int, end: int) -> Iterator[tuple[int, bytes]]:
     """Offset and content of the records that begin in [begin, end)."""
+    return ((offset, content) for offset, content, _ in _members(file, begin, end))
+
+
+def _members(file, begin: int, end: int) -> Iterator[tuple[int, bytes, str | None]]:
+    """Offset, content and what is wrong with the member, of the records that begin in [begin, end)."""
     window, offset = _Window(file), begin
     while offset < end:
         data = window.at(offset, READ_BYTES)
@@ -186,26 +198,37 @@ def members(file, begin: int, end: int) -> Iterator[tuple[int, bytes]]:
             offset += 1
             continue
         first = offset
-        content, offset = _member(window, offset)
-        yield first, content
+        content, offset, error = _member(window, offset)
+        yield first, content, error
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() and len(text) < 19 else None
 
 
-def parse(path: str, offset: int, content: bytes) -> dict:
+def parse(path: str, offset: int, content: bytes, error: str | None = None) -> dict:
+    """The row of a record. What is wrong with it is its ``error``; the fields that can be read are there still."""
     head, _, rest = content.partition(BLANK)
     fields = {}
     for line in head.split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
-        fields[name.strip().lower().decode()] = value.strip().decode("utf-8", "replace")
-    block = rest[: int(fields["content-length"])]
-    payload = block
+        fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+    kind, length = fields.get("warc-type"), _number(fields.get("content-length"))
+    if kind is None:
+        error = error or "no record type"
+    if length is None:
+        error = error or "no content length"
+    elif len(rest) < length:
+        error = error or "cut off"
+    block = payload = rest[:length]
     if fields.get("content-type", "").startswith("application/http"):
         payload = block.partition(BLANK)[2]
-    kind, named = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha1:")
+    algorithm, _, named = fields.get("warc-payload-digest", "").rpartition(":")
     size = len(payload)
     if kind == "revisit":
-        payload, size = None, int(fields["x-payload-length"]) if "x-payload-length" in fields else None
-    elif named and named != digest(payload):
-        raise ValueError(f"the payload at {path}, byte {offset}, doesn't have its digest")
+        payload, size = None, _number(fields.get("x-payload-length"))
+    elif named and algorithm in ("", "sha1") and named != digest(payload):
+        error = error or "payload without its digest"
     return {
         "path": path,
         "offset": offset,
@@ -216,14 +239,17 @@ def parse(path: str, offset: int, content: bytes) -> dict:
         "payload_digest": named or (None if payload is None else digest(payload)),
         "payload_bytes": size,
         "payload": payload,
+        "error": error,
     }
 
 
 def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """A row for each record of the archives (path, length), read by ranges of ``range_bytes``.
 
-    The payload is that of the HTTP message if there is one, null for a revisit. A response whose payload
-    differs from its digest is an error. A place that looks like a member and isn't a record is passed over.
+    The payload is that of the HTTP message if there is one, null for a revisit. A place that looks like a member
+    and isn't a record is passed over. A record that is damaged, cut off, without type or length, or whose payload
+    differs from its SHA-1 digest, is a row whose ``error`` says so, with what can be read of it; the records
+    behind it are read all the same. ``error`` is null for all others.
     """
     ranges = files.select(
         "path", "length", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))).alias("begin")
@@ -237,8 +263,8 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                 end = min(row["begin"] + range_bytes, row["length"])
                 with source.open_input_file(base) as file:
                     rows, size = [], 0
-                    for offset, content in members(file, row["begin"], end):
-                        rows.append(parse(row["path"], offset, content))
+                    for offset, content, error in _members(file, row["begin"], end):
+                        rows.append(parse(row["path"], offset, content, error))
                         size += len(content)
                         if size > RANGE_BYTES:
                             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)

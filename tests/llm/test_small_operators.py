@@ -67,6 +67,30 @@ def _sketch(text, k):
     return len({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}) if words else 0
 
 
+def test_damaged_records_are_rows_and_the_others_are_read(spark, tmp_path):
+    text = "".join(chr(97 + i * i % 23) for i in range(3000)).encode()
+    good = [warc._record("response", i, "u", text + b"%d" % i, warc.digest(text + b"%d" % i), None, "t") for i in range(6)]
+
+    def other(old, new):
+        return zlib.compress(zlib.decompress(good[0], 31).replace(old, new), 6, 31)
+
+    flipped = bytearray(good[0])
+    flipped[len(flipped) // 2] ^= 255
+    bad = {
+        "damaged member": bytes(flipped), "no content length": other(b"Content-Length: 3", b"Content-Length: x3"),
+        "no record type": other(b"WARC-Type", b"WARC-Tape"), "payload without its digest": other(b"sha1:", b"sha1:A"),
+    }
+    parts = [piece for pair in zip(good[1:], bad.values()) for piece in pair] + [good[5]]
+    data = b"".join(parts) + good[0][:-40]
+    file = tmp_path / "a.warc.gz"
+    file.write_bytes(data)
+    for size in (100, 997, len(data)):
+        rows = warc.read_archives(warc.archives(spark, str(file)), size).orderBy("offset").collect()
+        assert [r.error for r in rows] == [e for error in bad for e in (None, error)] + [None, "cut off"]
+        assert [r.record_id for r in rows if not r.error] == [f"<urn:page:{i}>" for i in (1, 2, 3, 4, 5)]
+        assert all(r.payload == text + b"%d" % (2 * i // 2 + 1) for i, r in enumerate(r for r in rows if not r.error))
+
+
 def test_fingerprints_and_edited_texts(spark):
     texts = ["a b c d e f g", None, "", "one", "a b c d e f g", "déjà vu " * 40] + [f"w{i} " * 3 + "x y z" for i in range(40)]
     rows = fingerprints.edited(documents(_docs(spark, texts))).collect()
