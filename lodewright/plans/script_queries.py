@@ -11,14 +11,19 @@ from lodewright.operators.templates import render_from_table, resolve_variables
 from lodewright.session import shared_dir
 from lodewright.sources.files import read_scripts, table
 
-# A session setting: how many tasks the queries here deal their input rows to. Without it the scan decides, as it
-# should where tables have many row groups; one file of one row group would be one task's work.
+# A session setting: how many tasks the queries here deal their input rows to. Without it the scan decides where it
+# has at least as many splits as the session's cores keep busy; a smaller table, whose few row groups would be
+# as many tasks' work however many cores there are, is dealt to TASKS_PER_CORE tasks a core.
 TASKS = "lodewright.scripts.tasks"
+TASKS_PER_CORE = 3
 
 
 def _rows(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     rows = table(spark, folder, name).select(*columns)
     tasks = int(spark.conf.get(TASKS, "0"))
+    if not tasks:
+        enough = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        tasks = enough if rows.rdd.getNumPartitions() < enough else 0
     return rows.repartition(tasks) if tasks else rows
 
 

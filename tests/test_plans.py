@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 import __spark_entry__ as registered
 from lodewright.operators import scripts
 from lodewright.plans import calendar_queries, script_queries, table_queries
@@ -45,6 +47,32 @@ def test_statements_are_computed_once(spark):
     assert "Filter (size" not in re.sub(r"\s+", " ", plan).replace("((", "(")
 
 
+def _tasks(df):
+    return df.rdd.getNumPartitions()
+
+
+@pytest.mark.parametrize("name", ["ddl_dictionary_parts"])
+def test_a_table_of_one_row_group_is_work_for_all_cores(spark, tmp_path, name):
+    rows = spark.range(40).selectExpr("id AS p_partkey", "'a' AS p_name", "'b' AS p_type", "1 AS p_size")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = script_queries.QUERIES[name](spark, str(tmp_path))
+    assert _tasks(found) >= spark.sparkContext.defaultParallelism
+    assert found.count() == 40 * 5
+
+
+def test_a_table_of_many_splits_is_not_dealt_again(spark, tmp_path):
+    splits = 4 * spark.sparkContext.defaultParallelism
+    rows = spark.range(splits).selectExpr("id AS p_partkey", "'a' AS p_name", "'b' AS p_type", "1 AS p_size")
+    rows.repartition(splits).write.parquet(f"{tmp_path}/part.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        assert "Exchange" not in _plan(script_queries.ddl_dictionary_parts(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(table_queries.lineitem_count(spark, FOLDER))
     assert "ReadSchema: struct<>" in plan
