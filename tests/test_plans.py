@@ -51,7 +51,7 @@ def _tasks(df):
     return df.rdd.getNumPartitions()
 
 
-@pytest.mark.parametrize("name", ["ddl_dictionary_parts"])
+@pytest.mark.parametrize("name", ["ddl_dictionary_parts", "ddl_dictionary_folded"])
 def test_a_table_of_one_row_group_is_work_for_all_cores(spark, tmp_path, name):
     rows = spark.range(40).selectExpr("id AS p_partkey", "'a' AS p_name", "'b' AS p_type", "1 AS p_size")
     rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
