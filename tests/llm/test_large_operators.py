@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodewright.llm import pitman_yor, prefix_tree, repeats, toxicity
@@ -184,6 +185,26 @@ def test_frequent_words_are_counted_in_all_texts(spark):
     assert pitman_yor._frequent(train.where("false")) == []
 
 
+def test_a_word_beyond_the_frequent_ones_is_a_context(spark):
+    # 256 words in most places, and 600 rarer ones of the same count, in pairs that always stand together.
+    follows = [f"p{i} q{(i * 7) % 300}" for i in range(300)]
+    held = lambda k: zlib.crc32(str(k).encode()) % 5 == 1
+    rows = [(k, " ".join(random.Random(k).sample(follows, 300))) for k in range(30) if not held(k)]
+    rows += [(k, " ".join(f"f{i}" for i in range(256))) for k in range(1000, 1100) if not held(k)]
+    right, wrong = [k for k in range(100, 200) if held(k)][:2]
+    rows += [(right, " ".join(follows)), (wrong, " ".join(f"p{i} q{(i * 7 + 1) % 300}" for i in range(300)))]
+    found = {r.doc_id: r for r in pitman_yor.score(_frame(spark, rows)).collect()}
+    assert found[right].base_score == pytest.approx(found[wrong].base_score)
+    assert found[right].score > found[wrong].score + 100
+
+
+def test_the_words_before_words_and_ends():
+    coded, ends = pitman_yor._split(pa.array(["a b", "", "c"]))
+    assert pitman_yor._before(coded, ends, 9).tolist() == [9, 0, 9, 1, 9, 2]
+    coded, ends = pitman_yor._split(pa.array(["", " "]))
+    assert pitman_yor._before(coded, ends, 9).tolist() == [9, 9]
+
+
 def test_scores_average_three_sampled_seatings_at_least():
     import inspect
 
