@@ -13,6 +13,11 @@ SPACES = (
 # The same as a class, for patterns that start with ``(?U)``: Java's Unicode white space leaves
 # the four separators.
 SPACE = r"[\s\x1c-\x1f]"
+# The same without ``(?U)``, which asks for each character's properties. Printable ASCII, most of any text, is ruled
+# out first. Of a lone blank nothing has to be collapsed.
+_WIDE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+ANY_SPACE = rf"[[^!-~]&&[\t-\r\x1c-\x20{_WIDE}]]"
+_UNEVEN = rf"(?: (?={ANY_SPACE})|[[^ -~]&&[\t-\r\x1c-\x1f{_WIDE}]]){ANY_SPACE}*+"
 
 
 def xtrim(text: Column | str, numeric: bool = False) -> Column:
@@ -33,7 +38,7 @@ def strip(text: Column) -> Column:
 
 def collapse_spaces(text: Column) -> Column:
     """Turn each run of white space into one blank."""
-    return F.regexp_replace(text, f"(?U){SPACE}++", " ")
+    return F.regexp_replace(text, _UNEVEN, " ")
 
 
 def prefix(text: Column | str, length: int) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodewright.functions import script_text
 from lodewright.functions.script_text import BACK_QUOTED, DOUBLE_QUOTED, QUOTED, SINGLE_QUOTED
-from lodewright.functions.text import collapse_spaces, strip
+from lodewright.functions.text import ANY_SPACE, collapse_spaces, strip
 from lodewright.operators.scripts import each, marked
 
 # The dictionary's columns and the headings of its CSV file.
@@ -19,7 +19,8 @@ HEADINGS = {
     "field_type": "字段类型",
 }
 
-_CREATE_TABLE = r"(?i)^create table\b"
+# Of a trimmed statement whose white space isn't collapsed yet, so that only these statements' is.
+_CREATE_TABLE = rf"(?i)^create{ANY_SPACE}++table\b"
 _HEAD = rf"^(?:[^('\"`]++|{QUOTED})*+"
 _NAME = rf"(?:{BACK_QUOTED}|[^\s`]++)++"
 _TABLE_NAME = rf"(?i)^create table (?:if not exists )?({_NAME})"
@@ -33,15 +34,34 @@ _PARTITIONED = rf"{_AROUND}\bpartitioned by ?({_BRACKET})"
 
 _TYPE_WORD = r"(?i:array|map|struct|row|multiset) ?"
 _NESTED_TYPE = rf"\b{_TYPE_WORD}\z"
-# One token holds all up to the next comma or bracket, with brackets that hold no others.
-_TOKEN = (
-    rf"(?:[^(),<>'\"`]++|{QUOTED}|\([^()'\"`]*+\)|(?<={_TYPE_WORD})<[^<>()'\"`]*+>)++"
-    r"|[(),<>'\"`]"
-)
+# Brackets that are read by pattern, with how many others inside each other; what nests deeper is folded.
+_NATIVE = 4
+_FLAT = r"\([^()'\"`]*+\)"
+
+
+def _round(depth: int) -> str:
+    """Balanced brackets. Beside brackets that hold no others there is no ``<`` or ``>``, so no type opens or closes."""
+    inner = f"{_FLAT}|{_round(depth - 1)}" if depth > 1 else _FLAT
+    return rf"\((?:[^()<>'\"`]++|{QUOTED}|{inner})*+\)"
+
+
+def _angles(depth: int) -> str:
+    """A type's balanced ``<`` and ``>``."""
+    inner = f"|{_angles(depth - 1)}" if depth > 1 else ""
+    return rf"<(?:[^<>()'\"`]++|{QUOTED}|{_FLAT}{inner})*+>"
+
+
+def _token(*more: str) -> str:
+    """All up to the next comma or bracket, with brackets that hold no others, and what else is read as a whole."""
+    whole = "|".join([rf"[^(),<>'\"`]++|{QUOTED}|{_FLAT}|(?<={_TYPE_WORD})<[^<>()'\"`]*+>", *more])
+    return rf"(?:{whole})++|[(),<>'\"`]"
+
+
+_TOKEN = _token(_round(_NATIVE), rf"(?<=\b{_TYPE_WORD}){_angles(_NATIVE)}")
 _STATE = "struct<depth: int, angles: int, now: string, fields: array<string>>"
 
 
-def _columns_and_rest(column_list: Column) -> Column:
+def _columns_and_rest(column_list: Column, token: str = _TOKEN) -> Column:
     """Read what follows a table's first ``(`` into ``fields`` and what follows the list (``now``).
 
     Commas part fields only outside brackets, so ``decimal(13, 2)`` and
@@ -83,7 +103,7 @@ def _columns_and_rest(column_list: Column) -> Column:
             .otherwise(state(depth, angles, more, fields))
         )
 
-    tokens = F.regexp_extract_all(column_list, F.lit(_TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(column_list, F.lit(token), F.lit(0))
     return F.aggregate(tokens, state(one, zero, nothing, no_fields).cast(_STATE), read)
 
 
@@ -105,14 +125,13 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     ``PARTITIONED BY`` declares with a type follow those of the list.
     """
     others = [name for name in scripts.columns if name != text]
-    code = F.col("code")
     after_head = F.length("head") + F.lit(2)
     parts = each(
         marked(scripts, text), others, script_text.statements(F.col(text)), "part"
     )
     tables = (
-        parts.select(*others, "pos", collapse_spaces(F.col("part.code")).alias("code"))
-        .where(code.rlike(_CREATE_TABLE))
+        parts.where(F.col("part.code").rlike(_CREATE_TABLE))
+        .select(*others, "pos", collapse_spaces(F.col("part.code")).alias("code"))
         .select(*others, "pos", "code", F.regexp_extract("code", _HEAD, 0).alias("head"))
         .select(
             *others,
@@ -126,9 +145,11 @@ def ddl_dictionary(scripts: DataFrame, text: str = "text", fold_case: bool = Fal
     options = F.concat_ws(" ", head, F.col("body.now"))
     inner = F.regexp_extract("body.now", _PARTITIONED, 1)
     partitions = _columns_and_rest(F.substring(inner, F.lit(2), F.length(inner)))["fields"]
-    typed = F.filter(
+    declared = F.filter(
         F.transform(partitions, strip), lambda field: field.rlike(rf"^{_NAME} (?!comment\b)[^ ]")
     )
+    named = F.lower("body.now").contains("partitioned by")
+    typed = F.when(named, declared).otherwise(F.array().cast("array<string>"))
     fields = F.filter(F.transform("body.fields", strip), lambda field: field != F.lit(""))
     # Not as a filter: Spark would move it below, and read every statement twice.
     complete = (F.col("body.depth") == F.lit(0)) & (after_name == F.lit(""))

@@ -243,3 +243,32 @@ def test_dictionary(spark):
     folded = ddl_dictionary(_frame(spark, DDL), fold_case=True)
     assert "books" in {row.table_comment for row in folded.collect()}
     assert dictionary_file(folded).columns == ["表名", "表描述", "字段名", "字段描述", "字段类型"]
+
+
+def test_column_lists_are_read_in_few_tokens_and_as_token_by_token(spark):
+    import random
+
+    from lodewright.operators.dictionary import _TOKEN, _columns_and_rest, _token
+
+    nested = "id int, tags struct<a: int, b: array<map<string, int>>>, x f((1, 2), g('(', (3))) )"
+    pick = random.Random(3)
+    parts = ["a", " ", ",", "(", ")", "<", ">", "array", "map<", "struct<b:", "'(,'", "'", '"', "`,`", "x array <", ">,", "(1, 2)"]
+    texts = [nested, *("".join(pick.choices(parts, k=pick.randrange(1, 25))) for _ in range(3000))]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string")
+    text = F.col("text")
+    tokens = F.size(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)))
+    found = rows.select(
+        "text", tokens, _columns_and_rest(text), _columns_and_rest(text, _token())
+    ).collect()
+    # Three fields with the two commas between them, and the list's end.
+    assert found[0][1] == 6
+    assert [row for row in found if row[2] != row[3]] == []
+
+
+def test_white_space_collapses_to_one_blank(spark):
+    from lodewright.functions.text import SPACES, collapse_spaces
+
+    texts = ["a b", "  a \t b\n", "a　b \x1c", "", " ", *(f"a{c}b {c} d{c}" for c in SPACES), "a​b᠎"]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string").select("text", collapse_spaces(F.col("text")))
+    for text, one in rows.collect():
+        assert one == "".join(c for i, c in enumerate("".join(" " if c in SPACES else c for c in text)) if c != " " or i == 0 or text[i - 1] not in SPACES)
