@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodewright.llm.tables import documents, written
+from lodewright.llm.tables import documents, slices, written
 
 CAPACITY = 2048
 # Rounds of the linear program; a bound of the plan's size too.
@@ -31,8 +31,8 @@ ROUNDS = 1500
 ETA = 3.0
 # Cached words of a worker; the cache starts anew beyond it.
 CACHED_WORDS = 700_000
-# Characters of text that a task holds as token ids at once (a longer text is handled alone).
-CHUNK_CHARS = 4_000_000
+# Bytes of texts that a task holds as strings and token ids at once (a longer text is handled alone).
+CHUNK_BYTES = 1 << 20
 
 PIECES = (
     "block long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, "
@@ -151,27 +151,15 @@ def _spread(text: str) -> str:
     return _STOP.sub(r" \1", text.lower())
 
 
-def _chunks(batches, limit: int):
-    for batch in batches:
-        keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        first, size = 0, 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= limit:
-                yield keys[first : i + 1], texts[first : i + 1]
-                first, size = i + 1, 0
-        if first < len(texts):
-            yield keys[first:], texts[first:]
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int, with_ids: bool) -> DataFrame:
     """A row for each piece; ``place`` numbers the pieces of a block that have the same length."""
 
     def cut(batches):
         encode = Encoder(tokenizer, end)
         block, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for keys, texts in _chunks(batches, CHUNK_CHARS):
-            ids, ends = encode(texts)
+        for part in slices(batches, 1, CHUNK_BYTES):
+            keys = part.column(0).to_pylist()
+            ids, ends = encode(part.column(1).to_pylist())
             sizes = np.diff(ends, prepend=0)
             number = -(-sizes // capacity)
             owner = np.repeat(np.arange(len(keys)), number)

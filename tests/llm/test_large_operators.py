@@ -302,3 +302,29 @@ def test_scores_survive_another_split_size(spark, tmp_path):
     finally:
         for name, value in zip(sizes, before):
             spark.conf.set(name, value)
+
+
+def test_packing_reads_a_batch_in_parts(monkeypatch):
+    import public_tokenizers
+
+    from lodewright.llm import packing
+
+    sizes, real = [], packing.Encoder.__call__
+
+    def watched(self, texts):
+        sizes.append(sum(map(len, texts)))
+        return real(self, texts)
+
+    monkeypatch.setattr(packing.Encoder, "__call__", watched)
+
+    class Frame:
+        def mapInArrow(self, cut, schema):  # noqa: N802
+            return cut
+
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})()))
+    texts = [f"word{i % 7} and more. " * 2000 for i in range(60)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(60), pa.int64()), "text": texts})
+    cut = packing.pieces(Frame(), public_tokenizers.path("word_bpe_49k.json"), 2048, 0, False)
+    rows = pa.Table.from_batches(list(cut([batch])))
+    assert max(sizes) <= 1 << 20 and sum(sizes) == sum(map(len, texts))
+    assert sorted(set(rows.column("doc_id").to_pylist())) == list(range(60))
