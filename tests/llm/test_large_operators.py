@@ -304,6 +304,35 @@ def test_scores_survive_another_split_size(spark, tmp_path):
             spark.conf.set(name, value)
 
 
+def test_suffixes_are_sorted_with_few_numbers_by_comparison(monkeypatch, tmp_path):
+    """Symbols and buckets are sorted by radix, and doubling sorts only what isn't alone in its rank yet."""
+    from lodewright.llm import induced
+
+    draw = np.random.default_rng(5)
+    letters = draw.integers(1, 5, 4000)
+    text = np.concatenate([letters, [0], letters[500:900], [0], draw.integers(1, 200, 3000), [0]]).astype(np.uint16)
+    sorted_, real = [], np.argsort
+
+    def watched(values, *args, **kinds):
+        if np.asarray(values).dtype.itemsize > 2:
+            sorted_.append(len(values))
+        return real(values, *args, **kinds)
+
+    monkeypatch.setattr(np, "argsort", watched)
+    places, shared = (
+        np.concatenate(x) for x in zip(*induced.Sorter(text, 257, 400, 1 << 22, str(tmp_path)).suffixes())
+    )
+    raw = text.tolist()
+    wanted = sorted(range(len(raw)), key=lambda i: raw[i : i + 400], reverse=True)
+    assert [raw[i : i + 400] for i in places] == [raw[i : i + 400] for i in wanted]
+    for a, b, same in zip(places, places[1:], shared[1:]):
+        x, y = raw[a : a + 400], raw[b : b + 400]
+        assert same == next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+    # The names once, and after that ever fewer of them.
+    names = sorted_[0]
+    assert sum(sorted_) < 4 * names
+
+
 def test_packing_reads_a_batch_in_parts(monkeypatch):
     import public_tokenizers
 
