@@ -357,3 +357,61 @@ def test_packing_reads_a_batch_in_parts(monkeypatch):
     rows = pa.Table.from_batches(list(cut([batch])))
     assert max(sizes) <= 1 << 20 and sum(sizes) == sum(map(len, texts))
     assert sorted(set(rows.column("doc_id").to_pylist())) == list(range(60))
+
+
+def test_the_sorter_works_on_few_places_at_once(tmp_path):
+    import tracemalloc
+
+    text = np.random.default_rng(3).integers(1, 30, 600_000).astype(np.uint16)
+    tracemalloc.start()
+    number = sum(len(places) for places, _ in Sorter(text, 257, 100, 1 << 22, str(tmp_path)).suffixes())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert number == len(text) and peak < 70 * len(text)
+
+
+def test_marks_and_segments_are_passed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "_ROWS", 10)
+    monkeypatch.setattr(repeats, "PART_BYTES", 1000)
+    draw = random.Random(4)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(600))
+    rows = [(i, "".join(draw.choice("xyz ") for _ in range(700)) + passage * (i % 2)) for i in range(30)]
+    found = sorted((tuple(r) for r in repeats.deduplicated(_frame(spark, rows)).collect()), key=str)
+    assert found == _without_repeats(rows, 400)
+
+    class Held:
+        """A frame that keeps what mapInArrow is given."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+
+    held = Held()
+    monkeypatch.setattr(repeats, "_keyed", lambda docs: held)
+    repeats._marks(held, 400, 128)
+    texts = [text.encode() for _, text in rows]
+    batch = pa.RecordBatch.from_pydict({"key": [hashlib.md5(t).digest() for t in texts], "data": texts})
+    sizes = [part.num_rows for part in held.run([batch])]
+    most = max(len(repeats.runs(np.frombuffer(t, np.uint8), 400, 128)[0]) for t in texts)
+    assert len(sizes) > 1 and max(sizes) < 10 + most
+
+
+def test_passages_run_one_python_step_a_stage(spark, monkeypatch):
+    plans, real = [], repeats.written
+
+    def watched(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return real(frame, label)
+
+    monkeypatch.setattr(repeats, "written", watched)
+    draw = random.Random(6)
+    passage = " ".join(draw.choice(["alpha", "beta", "gämma", "delta"]) + str(i) for i in range(80))
+    docs = _frame(spark, [(1, f"one {passage} é"), (2, f"two {passage}"), (3, "three"), (4, None)])
+    kept = repeats.passages_cut(docs.select("doc_id", "text").fillna("", ["text"]))
+    plans.append(kept._jdf.queryExecution().executedPlan().toString())
+    assert sorted(r.kept for r in kept.collect()) == ["one é", "two"]
+    for plan in plans:
+        steps = re.findall(r"MapInArrow|Exchange", plan)
+        assert ("MapInArrow", "MapInArrow") not in list(zip(steps, steps[1:]))
