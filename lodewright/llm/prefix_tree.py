@@ -325,6 +325,8 @@ def join(
         .agg(F.min("text_key").alias("text_key"), *(F.first(c).alias(c) for c in ("n", "firsts", *_BIT_NAMES)))
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    members = written(described.select("doc_id", "n", "set_key"), "members")
+    discard(described)
 
     # The place is kept in the number's high bits, at most LAST_PLACE: a smaller place rules out less.
     place = F.least(F.col("place"), F.lit(LAST_PLACE)).cast("long")
@@ -370,6 +372,7 @@ def join(
     in_main = F.col("component") == F.col("main")
     part = F.pmod(F.xxhash64("cid"), F.when(in_main, F.col("main_parts")).otherwise(F.col("other_parts")))
     open_rows = written(open_rows.withColumn("in_main", in_main).withColumn("part", part), "open")
+    discard(rows)
     kept = ["token", "cid", "n", "place", "component", "before", *_BIT_NAMES]
     # Every block of other classes meets each block of the main component and each block of others once.
     others = open_rows.where("not in_main")
@@ -401,17 +404,21 @@ def join(
         F.greatest("x.cid", "y.cid").alias("a"), F.least("x.cid", "y.cid").alias("b")
     ).distinct()
     more = _linked(docs, classes, second, frequent, words, percent)
+    discard(open_rows)
     final = components(links.unionAll(more))
 
     by_class = classes.select("cid", "set_key").join(final, "cid", "left")
     by_class = by_class.select("set_key", F.coalesce("component", "cid").alias("component"))
-    placed_docs = described.select("doc_id", "n", "set_key").join(by_class, "set_key", "left")
+    placed_docs = members.join(by_class, "set_key", "left")
     smallest = placed_docs.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("smallest"))
-    return placed_docs.join(smallest, "component", "left").select(
+    joined = placed_docs.join(smallest, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"),
     )
+    joined = written(joined, "joined")
+    discard(members, classes)
+    return joined
 
 
 def _before() -> Column:

@@ -415,3 +415,42 @@ def test_passages_run_one_python_step_a_stage(spark, monkeypatch):
     for plan in plans:
         steps = re.findall(r"MapInArrow|Exchange", plan)
         assert ("MapInArrow", "MapInArrow") not in list(zip(steps, steps[1:]))
+
+
+def test_a_join_leaves_no_large_step_behind(spark, monkeypatch):
+    from lodewright.llm.tables import open_folder
+
+    steps, real = [], prefix_tree.written
+
+    def watched(frame, label):
+        stored = real(frame, label)
+        steps.append((label, stored.written_at))
+        return stored
+
+    monkeypatch.setattr(prefix_tree, "written", watched)
+    base = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(i, f"{base} {base[: i % 3]} {i % 7}") for i in range(30)]
+    found = prefix_tree.join(_frame(spark, rows))
+    left = [label for label, path in steps if open_folder(path)[0].get_file_info(open_folder(path)[1]).type.name != "NotFound"]
+    assert not {"described", "classes", "members", "grams", "open"} & set(left)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == _linked(rows, 3, 90)
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    import time
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from lodewright.llm.tables import _CLEANUP, written
+
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+    setting, before = spark.conf.get(_CLEANUP), shuffled()
+    stored = written(spark.range(1000).groupBy(F.col("id") % 7).count(), "counts")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(_CLEANUP) == setting and stored.count() == 7
