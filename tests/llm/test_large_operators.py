@@ -231,6 +231,98 @@ def test_tables_are_bounded_and_few_for_weak_pull():
     assert pitman_yor.seat(customers, np.full(6, 1e-9), 0.1, draw).tolist() == [0, 1, 1, 1, 1, 1]
 
 
+def test_customers_are_seated_one_by_one():
+    draw = np.random.default_rng(5)
+    for pull, discount, seated, tables in [(0.3, 0.9, 1, 1), (40.0, 0.5, 60, 30), (1e5, 0.1, 2, 2), (1e-9, 0.9, 1, 1)]:
+        luck = draw.random(20_000)
+        now = tables
+        for j, u in enumerate(luck):
+            now += u * (pull + seated + j - discount * now) < pull
+        assert pitman_yor.queue(luck, seated, pull, discount, tables) == now - tables
+    # Many dishes side by side, and the same ones alone, have as many tables.
+    customers, pull = np.full(2000, 300), np.full(2000, 3.0)
+    beside = pitman_yor.seat(customers, pull, 0.5, draw).mean()
+    alone = np.mean([pitman_yor.seat(customers[:200], pull[:200], 0.5, draw).mean() for _ in range(10)])
+    assert beside == pytest.approx(alone, rel=0.03)
+
+
+def _chunked(spark, rows):
+    docs = _frame(spark, rows).selectExpr("doc_id", "coalesce(text, '') AS text", "true AS learn")
+    return pitman_yor._chunks(docs.repartition(3)).localCheckpoint()
+
+
+def _model(spark, rows, sweeps):
+    """Groups, words and pairs after the sweeps; all rows are learned from."""
+    chunks, parts, shards = _chunked(spark, rows), 5, 3
+    vocabulary = pitman_yor._vocabulary(chunks, shards).localCheckpoint()
+    group = pitman_yor._groups(chunks, pitman_yor._frequent(pitman_yor._counted(vocabulary)))
+    pairs = pitman_yor._pairs(chunks, vocabulary, group, parts, shards).localCheckpoint()
+    return group, *pitman_yor.fit(vocabulary, pairs, shards, 0.5, sweeps)
+
+
+def test_pairs_of_words_are_seated_and_their_tables_are_customers(spark):
+    draw = random.Random(2)
+    rows = [(i, " ".join(draw.choice("abcdefgh") for _ in range(200))) for i in range(60)]
+    _, words, seats, _ = _model(spark, rows, 3)
+    parts = [pitman_yor._Part(r.data) for r in words.collect()]
+    rows = seats.where(f"kind = {pitman_yor.REPEATED}").collect()
+    customers, total = (np.concatenate([pitman_yor._unpack(r.data)[i] for r in rows]) for i in (2, 4))
+    assert customers.min() > 1 and (total > 2).any() and (total >= 2).all() and (total <= 2 * customers).all()
+    more = sum(pitman_yor._unpack(r.data)[0].sum() for r in seats.where(f"kind = {pitman_yor.SEATED}").collect())
+    served, filled = (sum(getattr(p, name).sum() for p in parts) for name in ("served", "filled"))
+    # Every pair's tables are counted in its preceding word's restaurant, and are customers of its group's.
+    assert served == filled == sum(p.served_once.sum() for p in parts) + more > sum(p.served_once.sum() for p in parts)
+
+
+def test_words_probabilities_in_a_group_sum_to_one(spark):
+    rows = [(i, " ".join(f"w{(i * j) % 23}" for j in range(1, 80))) for i in range(40)]
+    _, words, _, past = _model(spark, rows, 3)
+    own, escape = np.zeros(pitman_yor.CONTEXTS), past[-1].escape()
+    for row in words.collect():
+        part = pitman_yor._Part(row.data)
+        own += np.bincount(part.context, weights=part.probabilities(past[-1])[0], minlength=pitman_yor.CONTEXTS)
+    assert own + escape == pytest.approx(1)
+
+
+def test_scores_equal_a_plain_model(spark):
+    draw = random.Random(7)
+    rows = [(i, " ".join(f"v{int(draw.random() ** 3 * 40)}" for _ in range(draw.randrange(1, 50)))) for i in range(120)]
+    held = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 5 == 1}
+    group = pitman_yor._groups(*(lambda c: (c, [w for w, _ in Counter(w for k, t in rows if k not in held for w in t.split()).most_common()]))(
+        _chunked(spark, [r for r in rows if r[0] not in held])))
+    found = {r.doc_id: r.score for r in pitman_yor.score(_frame(spark, rows), sweeps=1).collect()}
+
+    def tokens(text):
+        context, before = 0, ""
+        for word in [*text.split(), ""]:
+            yield context, before, word
+            context, before = group.get(word, context), word
+
+    n = Counter(x for k, t in rows if k not in held for x in tokens(t))
+    share = lambda some: min(0.9, max(0.1, (a := sum(v == 1 for v in some)) / max(1, a + 2 * sum(v == 2 for v in some))))
+    kept, filled, served = Counter(), Counter(), Counter()
+    for (g, b, w), number in n.items():
+        kept[g, b] += number
+        filled[g, b] += 1
+        served[g, w] += 1
+    guests, dishes = Counter(w for _, w in served), Counter(g for g, _ in served)
+    total = Counter()
+    for (g, _), number in served.items():
+        total[g] += number
+    d, d0, d1, strength = share(n.values()), share(served.values()), share(guests.values()), pitman_yor.STRENGTH
+    codes, number = np.unique(pitman_yor._codes(list(guests))[0], return_counts=True)
+    spelling = pitman_yor.Spelling(codes, number, 0)
+
+    def chance(g, b, w):
+        p = float(np.prod(spelling.of(pitman_yor._codes([w])[0])))
+        p = (max(0, guests[w] - d1) + (strength + d1 * len(guests)) * p) / (strength + guests.total())
+        p = (max(0, served[g, w] - d0) + (strength + d0 * dishes[g]) * p) / (strength + total[g])
+        return (max(0, n[g, b, w] - d) + (strength + d * filled[g, b]) * p) / (strength + kept[g, b])
+
+    wanted = {k: sum(math.log10(chance(*x)) for x in tokens(t)) for k, t in rows}
+    assert found == {k: pytest.approx(v, rel=1e-6) for k, v in wanted.items()}
+
+
 def test_subsequence_kernel_equals_listing_all():
     def listed(text):
         out = Counter()
