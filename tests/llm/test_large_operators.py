@@ -323,6 +323,21 @@ def test_scores_equal_a_plain_model(spark):
     assert found == {k: pytest.approx(v, rel=1e-6) for k, v in wanted.items()}
 
 
+def test_pairs_of_words_are_sent_in_few_bytes_and_evenly():
+    draw = np.random.default_rng(3)
+    # One word in half of the pairs.
+    word, cell = np.where(draw.random(200_000) < 0.5, 7, draw.integers(0, 50_000, 200_000)), draw.integers(0, 500_000, 200_000)
+    part = pitman_yor._part(word, cell, 20)
+    assert np.bincount(part, minlength=20).max() < 1.1 * 10_000
+    order = np.lexsort((cell, word))
+    data = pitman_yor._pack(pitman_yor._steps(word[order]), cell[order], np.ones(200_000, np.int64))
+    assert len(data) < 5 * 200_000
+    back = pitman_yor._unpack(data)
+    assert (np.cumsum(back[0]) == word[order]).all() and (back[1] == cell[order]).all()
+    some = [np.array([-5, 1 << 40]), np.zeros(0, np.int64), np.array([0.1, -3e300]), np.array([1 << 31, 70_000])]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(some, pitman_yor._unpack(pitman_yor._pack(*some))))
+
+
 def test_subsequence_kernel_equals_listing_all():
     def listed(text):
         out = Counter()
